@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing, quality, sharding, tokencount, toxicity
+from . import bpe, media, neardup, packing, quality, sharding, tokencount, toxicity
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op8_media": op8_media,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,

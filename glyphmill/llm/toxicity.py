@@ -84,25 +84,29 @@ def gains(windows: list[bytes], dictionaries: Dictionaries) -> list[int]:
     return [ordinary(w) - toxic(w) for w in windows]
 
 
-def train(toxic: set[tuple[bytes, bytes, bytes]], ordinary: set[tuple[bytes, bytes, bytes]]) -> Dictionaries:
-    """Dictionaries from distinct (before, word, behind) triples of either class."""
-    counts = [Counter(w.strip(EDGES) for _, w, _ in t) for t in (toxic, ordinary)]
-    by_segment: list[Counter[bytes]] = [Counter(), Counter()]
-    for count, into in zip(counts, by_segment, strict=True):
-        for w, n in count.items():
-            for s in segments(w):
-                into[s] += n
-    n_toxic, n_ordinary = max(1, len(toxic)), max(1, len(ordinary))
+def train(toxic: Counter[bytes], ordinary: Counter[bytes]) -> Dictionaries:
+    """Dictionaries from the words of either class, each with its number of distinct (before, word, behind) triples."""
+    n_toxic, n_ordinary = max(1, toxic.total()), max(1, ordinary.total())
+    often: Counter[bytes] = Counter()
+    for w, n in toxic.items():
+        for s in segments(w):
+            often[s] += n
+    often = Counter({s: a for s, a in often.items() if a >= 5})
+    elsewhere = dict.fromkeys(often, 0)
+    for w, n in ordinary.items():
+        for s in segments(w):
+            if s in elsewhere:
+                elsewhere[s] += n
 
     def telling(segment: bytes, a: int) -> bool:
-        b = by_segment[1][segment]
+        b = elsewhere[segment]
         p = (a + b) / (n_toxic + n_ordinary)
         z = (a / n_toxic - b / n_ordinary) / math.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_ordinary)) if p < 1 else 0.0
-        return a >= 5 and z >= 4.5 and a / n_toxic > 50 * (b + 0.5) / n_ordinary
+        return z >= 4.5 and a / n_toxic > 50 * (b + 0.5) / n_ordinary
 
-    marks = {s for s, a in by_segment[0].items() if telling(s, a)}
-    marked = sorted((w for w in counts[0] if segments(w) & marks), key=lambda w: (counts[0][w], w))
-    plain = sorted((w for w in counts[1] if not segments(w) & marks), key=lambda w: (-counts[1][w], w))
+    marks = {s for s, a in often.items() if telling(s, a)}
+    marked = sorted((w for w in toxic if segments(w) & marks), key=lambda w: (toxic[w], w))
+    plain = sorted((w for w in ordinary if not segments(w) & marks), key=lambda w: (-ordinary[w], w))
     base = b" ".join(reversed(plain[:100_000]))[-BASE_BYTES:]
 
     def content(tail: list[bytes]) -> bytes:
@@ -115,7 +119,7 @@ def train(toxic: set[tuple[bytes, bytes, bytes]], ordinary: set[tuple[bytes, byt
         tail, size = [], 0
         for w, g in zip(plain, gains([window(w) for w in plain], out), strict=True):
             if g > 0:
-                hard[w] += g * counts[1][w]
+                hard[w] += g * ordinary[w]
         for w, _ in hard.most_common():
             if (size := size + len(w) + 1) > TAIL_BYTES - 2:
                 break
@@ -128,8 +132,8 @@ def training_fold(doc_id: Column) -> Column:
     return fold(doc_id, FOLDS) != HELD_OUT
 
 
-def sample_triples(docs: DataFrame, labels: DataFrame) -> tuple[list[set], set]:
-    """[ordinary, toxic] triples of a bounded sample of labelled documents, and the ids of these. Only the ids are sent out; no text is shuffled."""
+def sample_words(docs: DataFrame, labels: DataFrame) -> tuple[list[Counter[bytes]], set]:
+    """[ordinary, toxic] words of a bounded sample of labelled documents, and the ids of these. Only the ids are sent out; no text is shuffled."""
     classes = []
     for c in (0, 1):
         rows = labels.where(training_fold(F.col("doc_id")) & (F.col("toxic") == c)).select("doc_id").distinct()
@@ -140,8 +144,7 @@ def sample_triples(docs: DataFrame, labels: DataFrame) -> tuple[list[set], set]:
         import pyarrow as pa
 
         for batch in batches:
-            cls: list[int] = []
-            rows: list[bytes] = []
+            out: list[list] = [[], [], []]
             texts = batch.column("text")
             for k, i in enumerate(batch.column("doc_id").to_pylist()):
                 c = class_of.get(i)
@@ -152,13 +155,14 @@ def sample_triples(docs: DataFrame, labels: DataFrame) -> tuple[list[set], set]:
                 for triple in zip(w, w[1:], w[2:], strict=False):
                     row = b" ".join(triple)
                     if zlib.crc32(row) < most and len(row) < 256:
-                        cls.append(c)
-                        rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int32()), pa.array(rows, pa.binary())], ["class", "triple"])
-
-    found: list[set] = [set(), set()]
-    for c, row in docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "class int, triple binary").distinct().toPandas().itertuples(index=False):
-        found[c].add(tuple(bytes(row).split(b" ")))
+                        for column, value in zip(out, (c, triple[1].strip(EDGES), row), strict=True):
+                            column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["class", "word", "triple"])
+
+    triples = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "class int, word binary, triple binary").distinct()
+    found: list[Counter[bytes]] = [Counter(), Counter()]
+    for c, word, n in triples.groupBy("class", "word").count().toPandas().itertuples(index=False):
+        found[c][bytes(word)] = n
     return found, set(class_of)
 
 
@@ -218,7 +222,7 @@ class Model:
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the counts of all documents (checkpointed)."""
     labels = labels.where("toxic is not null")
-    (ordinary, toxic), used = sample_triples(docs, labels)
+    (ordinary, toxic), used = sample_words(docs, labels)
     dictionaries = train(toxic, ordinary)
     counted = checkpointed(with_counts(docs, dictionaries, keep=False))
     known = counted.where(training_fold(F.col("doc_id"))).join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id")
