@@ -281,3 +281,38 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:  # noqa:
     ids = rooted.join(least, "root", "left").select("node", "class_rows", F.coalesce("component", "rep").alias("component"))
     out = signed.join(ids, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("class_rows", F.lit(1)).alias("class_rows"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "class_rows")
+
+
+def keep_first(docs: DataFrame, plan: Plan) -> DataFrame:
+    """The rows of docs whose id is the least of their component, one row of each component, with all their columns.
+
+    A text without words is no duplicate of anything and stays. Rows are told apart by id and set, so where an id
+    repeats, one of its rows with the component's least id stays. Null ids come last.
+    """
+    signed, roots = link(docs, plan)
+    classes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    # The class with the least id stands for its component; ties by set.
+    first = classes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")).groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "node")).alias("f")).select("f.rep", "f.node")
+    return _first_rows(docs, checkpointed(first), plan)
+
+
+def _first_rows(docs: DataFrame, first: DataFrame, plan: Plan) -> DataFrame:
+    from pyspark.sql.types import BinaryType
+
+    columns = docs.columns
+    node = "_glyphmill_node"
+
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column("text")
+            sets = [shingles(texts[k].as_py(), plan.words) for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_key(h) if len(h) else None for h in sets], pa.binary())], [*batch.schema.names, node])
+
+    rows = docs.mapInArrow(run, type(docs.schema)([*docs.schema.fields]).add(node, BinaryType()))
+    empty = rows.where(f"{node} is null").select(*columns)
+    chosen = first.select(F.col("rep").alias("_glyphmill_rep"), F.col("node").alias("_glyphmill_first"))
+    # Rows of one class with the least id: usually one; repeats of it are dropped where they meet.
+    kept = rows.join(chosen, (rows[node] == chosen["_glyphmill_first"]) & rows["doc_id"].cast("long").eqNullSafe(chosen["_glyphmill_rep"])).select(*columns, node)
+    return empty.unionByName(kept.dropDuplicates([node]).select(*columns))

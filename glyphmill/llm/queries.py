@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, neardup, packing, quality, sharding, tokencount, toxicity
+from . import bpe, media, neardup, packing, quality, secrets, sharding, suffixtree, tokencount, toxicity
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,14 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
@@ -52,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_suffix_tree": op6_suffix_tree,
+    "op7_secrets": op7_secrets,
     "op8_media": op8_media,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
