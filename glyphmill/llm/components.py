@@ -26,13 +26,15 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Each round's edges are checkpointed; their number and hash sum tell when nothing has changed.
     """
     edges = checkpointed(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    of = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    state = of(edges)
     for _ in range(rounds):
-        new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == state or new[0] == 0:
+        if state[0] == 0:
             break
-        state = new
         edges = checkpointed(_stars(edges))
+        before, state = state, of(edges)
+        if before == state:
+            break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -3,7 +3,7 @@
 1. Each text becomes the set of its distinct word shingles (64-bit hashes) and a MinHash signature; documents with equal
    sets are one class, found by a grouped minimum. Everything else goes over classes.
 2. Classes that agree in a band of signature rows share a bucket. No bucket's pairs are written out: each member
-   is compared with the bucket's least class (a star), as bucket sizes and minima are pre-aggregated sums.
+   is compared with CENTERS of the bucket's classes, the least ones in as many orders (stars); sizes and centers are pre-aggregated.
 3. A pair's signatures are compared batch by batch. With m of n rows equal and a uniform prior, the similarity has a Beta(m + 1, n - m + 1) posterior;
    the pair is dropped as soon as P(similarity >= threshold) = P(Binomial(n + 1, threshold) <= m) is below
    the chosen miss probability. Survivors are confirmed on the full sets.
@@ -33,6 +33,8 @@ from .quality import binomial_tail
 
 BLOCK = 256
 BATCH = 20
+#: Stars of each bucket. In a bucket of at most CENTERS + 1 classes these are usually all pairs.
+CENTERS = 4
 MISS = 1e-7
 
 
@@ -131,6 +133,31 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (small + large - both)
 
 
+def similar_all(a: list[np.ndarray], b: list[np.ndarray], percent: int, width: int = 8192) -> np.ndarray:
+    """similar() of all pairs of two bounded lists of sets, as a matrix: intersections are products of 0/1 matrices over the shingles
+    that both lists have, `width` shingles at a time."""
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    row_a, row_b = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b))
+    places = []
+    for flat, row in ((flat_a, row_a), (flat_b, row_b)):
+        at = np.minimum(np.searchsorted(shared, flat), max(len(shared) - 1, 0))
+        ok = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
+        places.append((row[ok], at[ok]))
+    both = np.zeros((len(a), len(b)), np.float32)
+    for low in range(0, len(shared), width):
+        parts = []
+        for (row, at), n in zip(places, (len(a), len(b)), strict=True):
+            inside = (at >= low) & (at < low + width)
+            m = np.zeros((n, min(width, len(shared) - low)), np.float32)
+            m[row[inside], at[inside] - low] = 1
+            parts.append(m)
+        both += parts[0] @ parts[1].T
+    both = both.astype(np.int64)
+    sizes = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])
+    return 100 * both >= percent * (sizes - both)
+
+
 def _signed(docs: DataFrame, plan: Plan) -> DataFrame:
     """doc_id, n_shingles, node (null: empty set) and signature (null: too small to link with another set)."""
 
@@ -201,10 +228,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary")
 
 
-def _unsettled(members: DataFrame, links: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """Links (u, v) between components that still meet in some bucket of three or more members."""
-    roots = components(links)
-    labelled = checkpointed(members.where("n > 2").join(roots.withColumnRenamed("node", "v"), "v", "left").select("bucket", "band", "first", "n", "v", F.coalesce("root", "v").alias("root")))
+def _unsettled(members: DataFrame, roots: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """Links (u, v) between components that still meet in some bucket where not every pair has a center."""
+    labelled = checkpointed(members.where(F.col("n") > F.size("centers") + 1).join(roots.withColumnRenamed("node", "v"), "v", "left").select("bucket", "band", "centers", "n", "v", F.coalesce("root", "v").alias("root")))
     counts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("most"), F.sum("k").alias("n")).where("most.k < n").select("bucket", F.col("most.root").alias("main"), (F.col("n") - F.col("most.k")).alias("others"))
     open_members = labelled.join(mixed, "bucket").join(texts.withColumnRenamed("node", "v"), "v")
@@ -212,8 +238,8 @@ def _unsettled(members: DataFrame, links: DataFrame, texts: DataFrame, plan: Pla
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     askers = F.ceil(F.col("others") / BLOCK).cast("int")
     of = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
-    asking = open_members.where("root != main").select("bucket", "band", "first", "v", "root", "signature", "text", of(askers).alias("asker"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("asks"))
-    asked = open_members.select("bucket", "band", "first", "v", "root", "signature", "text", F.explode(F.sequence(F.lit(0), askers - 1)).alias("asker"), of(blocks).alias("block"), F.lit(False).alias("asks"))
+    asking = open_members.where("root != main").select("bucket", "band", "centers", "v", "root", "signature", "text", of(askers).alias("asker"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("asks"))
+    asked = open_members.select("bucket", "band", "centers", "v", "root", "signature", "text", F.explode(F.sequence(F.lit(0), askers - 1)).alias("asker"), of(blocks).alias("block"), F.lit(False).alias("asks"))
 
     def compare(rows):  # noqa: ANN001, ANN202
         import pandas as pd
@@ -221,38 +247,37 @@ def _unsettled(members: DataFrame, links: DataFrame, texts: DataFrame, plan: Pla
         ask, all_ = rows[rows["asks"]], rows[~rows["asks"]]
         found: list[tuple[bytes, bytes]] = []
         if len(ask) and len(all_):
-            band, first = int(rows["band"].iloc[0]), rows["first"].iloc[0]
+            band, centers = int(rows["band"].iloc[0]), set(rows["centers"].iloc[0])
             sa, sb = (np.stack([np.frombuffer(s, np.uint32) for s in x["signature"]]) for x in (ask, all_))
-            root = {r: r for r in {*ask["root"], *all_["root"]}}
-
-            def top(r: bytes) -> bytes:
-                while root[r] != r:
-                    root[r] = root[root[r]]
-                    r = root[r]
-                return r
-
-            sets: dict[bytes, np.ndarray] = {}
             va, vb, ra, rb, ta, tb = (x[c].tolist() for c in ("v", "root", "text") for x in (ask, all_))
-            members = np.array([v != first for v in vb])
+            number = {r: k for k, r in enumerate({*ra, *rb})}
+            na, nb = np.array([number[r] for r in ra]), np.array([number[r] for r in rb])
+            open_ = (na[:, None] != nb) & np.array([v not in centers for v in va])[:, None] & np.array([v not in centers for v in vb])
             for i in range(len(va)):
-                if va[i] == first:
-                    continue
-                bands = (sb[:, : band * plan.rows] == sa[i, : band * plan.rows]).reshape(len(vb), band, plan.rows).all(axis=2).any(axis=1) if band else np.zeros(len(vb), bool)
-                rest = np.flatnonzero(members & ~bands)
-                rest = rest[plausible(np.broadcast_to(sa[i], (len(rest), plan.size)), sb[rest], plan)] if len(rest) else rest
-                for j in rest:
-                    x, y = top(ra[i]), top(rb[j])
-                    if x == y:
-                        continue
-                    for v, t in ((va[i], ta[i]), (vb[j], tb[j])):
-                        if v not in sets:
-                            sets[v] = shingles(t, plan.words)
-                    if similar(sets[va[i]], sets[vb[j]], plan.percent):
-                        root[x] = y
-                        found.append((va[i], vb[j]))
+                rest = np.flatnonzero(open_[i])
+                if band and len(rest):  # pairs that met in an earlier band were compared there
+                    met = (sb[rest, : band * plan.rows] == sa[i, : band * plan.rows]).reshape(len(rest), band, plan.rows).all(axis=2).any(axis=1)
+                    rest = rest[~met]
+                open_[i] = False
+                if len(rest):
+                    open_[i, rest[plausible(np.broadcast_to(sa[i], (len(rest), plan.size)), sb[rest], plan)]] = True
+            ia, ib = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            if len(ia):
+                linked = open_[np.ix_(ia, ib)] & similar_all([shingles(ta[i], plan.words) for i in ia], [shingles(tb[j], plan.words) for j in ib], plan.percent)
+                top = list(range(len(number)))
+                for i, j in np.argwhere(linked):  # one link for each pair of components that meet is enough
+                    x, y = na[ia[i]], nb[ib[j]]
+                    while top[x] != x:
+                        x = top[x]
+                    while top[y] != y:
+                        y = top[y]
+                    if x != y:
+                        top[x] = y
+                        found.append((va[ia[i]], vb[ib[j]]))
         return pd.DataFrame(found, columns=["u", "v"])
 
-    return asking.unionByName(asked).groupBy("bucket", "asker", "block").applyInPandas(compare, "u binary, v binary")
+    spread = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, much work: not to be coalesced
+    return asking.unionByName(asked).repartition(spread, "bucket", "asker", "block").groupBy("bucket", "asker", "block").applyInPandas(compare, "u binary, v binary")
 
 
 def link(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
@@ -262,14 +287,17 @@ def link(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     width = 4 * plan.rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(k, F.substring("signature", k * width + 1, F.lit(width))).alias("bucket")))
     rows = classes.select("node", F.explode(bands).alias("b")).select("b.bucket", "b.band", F.col("node").alias("v"))
-    shared = rows.groupBy("bucket", "band").agg(F.min("v").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    centers = F.array_distinct(F.array(F.min("v"), *(F.min_by("v", F.xxhash64("v", F.lit(k))) for k in range(1, CENTERS))))
+    shared = rows.groupBy("bucket", "band").agg(centers.alias("centers"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = checkpointed(rows.join(shared, ["bucket", "band"]))
     candidates = checkpointed(_with_texts(docs, members.select("v").distinct().join(classes.withColumnRenamed("node", "v"), "v").withColumnRenamed("v", "node"), plan))
     signatures, texts = candidates.select("node", "signature"), candidates.select("node", "text")
-    pairs = members.where("v != first").select(F.col("first").alias("u"), "v").distinct()
-    links = checkpointed(_confirmed(_pruned(pairs, signatures, plan), texts, plan))
-    more = checkpointed(_unsettled(members, links, candidates, plan))
-    return signed.select("doc_id", "n_shingles", "node"), components(links.union(more))
+    pairs = members.select(F.explode("centers").alias("u"), "v").where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    roots = components(_confirmed(_pruned(pairs, signatures, plan), texts, plan))
+    more = checkpointed(_unsettled(members, roots, candidates, plan))
+    if not more.isEmpty():
+        roots = components(roots.toDF("u", "v").union(more))
+    return signed.select("doc_id", "n_shingles", "node"), roots
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:  # noqa: B008
