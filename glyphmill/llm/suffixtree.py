@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import byte_groups, checkpointed, fold, lower_bytes
 
 FOLDS, HELD_OUT = 5, 1
-HEAD_WORDS = 300_000
-MAX_PAIRS = 400_000
+HEAD_WORDS = 200_000
+MAX_PAIRS = 200_000
 #: A context must have at least N / CONTEXTS occurrences, so there are at most CONTEXTS of each length.
 CONTEXTS = 20_000
 LEAST_CONTEXT = 8
@@ -187,21 +187,39 @@ class Level:
         self.contexts, self.left, self.keys, self.shares = contexts, left, keys, shares
 
 
-def _level(counts: DataFrame, contexts: np.ndarray, totals: np.ndarray, parent, cost: float) -> Level:  # noqa: ANN001
-    """Keeps the pairs and states that diverge enough. parent(contexts, state, next): the suffix's probability of each pair."""
-    most = _threshold(counts.where("count > 1"), "count", 10 * MAX_PAIRS)
-    rows = counts.where(F.col("count") >= max(2, most)).toPandas()
+def _telling(counts: DataFrame, shared, depth: int, cost: float) -> DataFrame:  # noqa: ANN001
+    """counts with share, below (the suffix's probability) and gain, for the pairs that gain enough; weighed where they lie."""
+
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        value = shared.value
+        contexts, totals, root = value["contexts"][depth - 1], value["totals"][depth - 1], value["head"].root()
+        for batch in batches:
+            state, nxt, count = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("state", "next", "count"))
+            below = root[nxt]
+            if depth == 2:
+                first = value["levels"][0]
+                s = _find(first.contexts, contexts[state] & 0xFFFFFFFF)
+                found = _find(first.keys, s << 32 | nxt)
+                below = np.where(found >= 0, first.shares[np.maximum(found, 0)] if len(first.shares) else 0.0, 0.0) + first.left[s] * below
+            share = (count - DISCOUNT) / totals[state]
+            gain = count * np.log(share / below)
+            keep = (gain >= cost) & (count > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (state, nxt, count, share, below, gain)], ["state", "next", "count", "share", "below", "gain"])
+
+    return counts.mapInArrow(run, "state long, next long, count long, share double, below double, gain double")
+
+
+def _level(counts: DataFrame, shared, depth: int, cost: float) -> Level:  # noqa: ANN001
+    """The pairs and states of one length that diverge enough."""
+    contexts, totals = shared.value["contexts"][depth - 1], shared.value["totals"][depth - 1]
+    kept = checkpointed(_telling(counts, shared, depth, cost))
+    rows = kept.where(F.col("gain") >= _threshold(kept, "gain", MAX_PAIRS)).toPandas()
     state, nxt, count = (rows[c].to_numpy(np.int64) for c in ("state", "next", "count"))
-    below = parent(contexts, state, nxt)
-    share = (count - DISCOUNT) / totals[state]
-    gain = count * np.log(share / below)
-    keep = gain >= cost
-    if keep.sum() > MAX_PAIRS:
-        keep &= gain >= np.partition(gain, -MAX_PAIRS)[-MAX_PAIRS]
-    state, nxt, share, gain, count, below = (x[keep] for x in (state, nxt, share, gain, count, below))
+    share, below, gain = (rows[c].to_numpy(float) for c in ("share", "below", "gain"))
     n = len(contexts)
-    kept = np.bincount(state, share, n)
-    left = 1.0 - kept
+    left = 1.0 - np.bincount(state, share, n)
     rest = totals - np.bincount(state, count, n)
     outside = np.maximum(1.0 - np.bincount(state, below, n), 1e-12)
     divergence = np.bincount(state, gain, n) + rest * np.log(np.maximum(left, 1e-12) / outside)
@@ -241,26 +259,20 @@ def score(docs: DataFrame) -> DataFrame:
     one = np.array([i for i, (w, c) in enumerate(zip(head.words, head.counts.tolist(), strict=True)) if w != END and c >= least], np.int64)
     levels: list[Level] = []
     if len(one):
-        shared = spark.sparkContext.broadcast({"head": head, "contexts": [one]})
+        contexts, totals = [one], [head.counts[one].astype(float)]
+        shared = spark.sparkContext.broadcast({"head": head, "contexts": contexts, "totals": totals})
         pairs = checkpointed(pair_counts(docs, shared, 1))
-        levels.append(_level(pairs, one, head.counts[one].astype(float), lambda c, s, w: root[w], cost))
-        first = levels[0]
+        levels.append(_level(pairs, shared, 1, cost))
         frequent = pairs.where(F.col("count") >= least).toPandas()  # at most N / least rows
         a, b, n = one[frequent["state"].to_numpy(np.int64)], frequent["next"].to_numpy(np.int64), frequent["count"].to_numpy(float)
-        inner = np.array([head.words[i] != END for i in b], bool) & (_find(first.contexts, b) >= 0) if len(b) else np.zeros(0, bool)
+        inner = np.array([head.words[i] != END for i in b], bool) & (_find(levels[0].contexts, b) >= 0)
         packed = (a << 32 | b)[inner]
         order = np.argsort(packed)
-        two, totals = packed[order], n[inner][order]
-        if len(two):
-
-            def suffix(contexts: np.ndarray, state: np.ndarray, nxt: np.ndarray) -> np.ndarray:
-                s = _find(first.contexts, contexts[state] & 0xFFFFFFFF)
-                found = _find(first.keys, s << 32 | nxt)
-                return np.where(found >= 0, first.shares[np.maximum(found, 0)], 0.0) + first.left[s] * root[nxt]
-
+        if len(packed):
+            contexts, totals = [one, packed[order]], [*totals, n[inner][order]]
             shared.unpersist()
-            shared = spark.sparkContext.broadcast({"head": head, "contexts": [one, two]})
-            levels.append(_level(pair_counts(docs, shared, 2), two, totals, suffix, cost))
+            shared = spark.sparkContext.broadcast({"head": head, "contexts": contexts, "totals": totals, "levels": levels})
+            levels = [*levels, _level(pair_counts(docs, shared, 2), shared, 2, cost)]
         shared.unpersist()
     shared = spark.sparkContext.broadcast({"head": head, "levels": levels})
 
