@@ -17,9 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id and text only: extra columns never reach an operator, so their names can't clash with its own."""
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", "text")
 
 
+def bound_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Arrow batches end at this many bytes as well as at the usual number of rows: ten thousand rows of long texts are no batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds. A null id has fold 0, as crc32 of the empty string is 0."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))

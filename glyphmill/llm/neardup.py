@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PieceTable
-from .common import checkpointed, lower_bytes
+from .common import bound_batches, checkpointed, lower_bytes
 from .components import components
 from .quality import binomial_tail
 
@@ -282,6 +282,7 @@ def _unsettled(members: DataFrame, roots: DataFrame, texts: DataFrame, plan: Pla
 
 def link(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, node) of every row, and (node, root) of every linked node."""
+    bound_batches(docs.sparkSession)
     signed = checkpointed(_signed(docs, plan))
     classes = signed.where("signature is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
     width = 4 * plan.rows

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fold
+from .common import bound_batches, checkpointed, fold
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -68,6 +68,7 @@ def with_counts(docs: DataFrame, stratum: str = "lang", keep: bool = True) -> Da
     """docs with PREFIX + name for each of COUNTS and the stratum; without keep, doc_id and these only. Narrow, no shuffle."""
     from pyspark.sql.types import LongType, StringType, StructType
 
+    bound_batches(docs.sparkSession)
     docs = docs.withColumn(f"{PREFIX}stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
     if not keep:
         docs = docs.select("doc_id", f"{PREFIX}stratum", "text")

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, checkpointed, fold, lower_bytes
+from .common import bound_batches, byte_groups, checkpointed, fold, lower_bytes
 
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 200_000
@@ -248,6 +248,7 @@ def _probabilities(ids: np.ndarray, sizes: np.ndarray, root: np.ndarray, levels:
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     counts = checkpointed(word_counts(docs))
     tokens, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
     cut = _threshold(counts, "count", HEAD_WORDS)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PieceTable
-from .common import checkpointed, fold, lower_bytes
+from .common import bound_batches, checkpointed, fold, lower_bytes
 from .quality import fit_logistic
 
 #: The dictionaries are trained on at most so many labelled documents of each class (those of the least hashes),
@@ -221,6 +221,7 @@ class Model:
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the counts of all documents (checkpointed)."""
+    bound_batches(docs.sparkSession)
     labels = labels.where("toxic is not null")
     (ordinary, toxic), used = sample_words(docs, labels)
     dictionaries = train(toxic, ordinary)
