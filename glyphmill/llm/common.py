@@ -53,6 +53,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """checkpointed() as a compressed table in the same shared folder, for rows with long texts."""
+    import uuid
+
+    checkpointed(df.sparkSession.range(0))  # sets the folder where it is unset
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def byte_groups(texts: list[str | None], limit: int) -> Iterator[range]:
     """Runs of neighbouring rows that hold about `limit` characters each (a longer text is a run of its own)."""
     start = size = 0

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PieceTable
-from .common import bound_batches, checkpointed, lower_bytes
+from .common import bound_batches, checkpointed, lower_bytes, stored
 from .components import components
 from .quality import binomial_tail
 
@@ -288,10 +288,12 @@ def link(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     width = 4 * plan.rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(k, F.substring("signature", k * width + 1, F.lit(width))).alias("bucket")))
     rows = classes.select("node", F.explode(bands).alias("b")).select("b.bucket", "b.band", F.col("node").alias("v"))
+    # Buckets of one class, nearly all of them, go before anything but a count is gathered.
+    counts = rows.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = checkpointed(rows.join(counts, ["bucket", "band"]))
     centers = F.array_distinct(F.array(F.min("v"), *(F.min_by("v", F.xxhash64("v", F.lit(k))) for k in range(1, CENTERS))))
-    shared = rows.groupBy("bucket", "band").agg(centers.alias("centers"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = checkpointed(rows.join(shared, ["bucket", "band"]))
-    candidates = checkpointed(_with_texts(docs, members.select("v").distinct().join(classes.withColumnRenamed("node", "v"), "v").withColumnRenamed("v", "node"), plan))
+    members = checkpointed(shared.join(shared.groupBy("bucket", "band").agg(centers.alias("centers")), ["bucket", "band"]))
+    candidates = stored(_with_texts(docs, members.select("v").distinct().join(classes.withColumnRenamed("node", "v"), "v").withColumnRenamed("v", "node"), plan))
     signatures, texts = candidates.select("node", "signature"), candidates.select("node", "text")
     pairs = members.select(F.explode("centers").alias("u"), "v").where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     roots = components(_confirmed(_pruned(pairs, signatures, plan), texts, plan))
