@@ -91,16 +91,12 @@ def decide(texts: DataFrame, res: Resources, profile: ScriptProfile, keep_marks:
 def reassemble(texts: DataFrame, decisions: DataFrame, profile: ScriptProfile, identity: bool = True) -> DataFrame:
     """(id, text): words replaced by their forms, everything else as it was; fails where stripping shows a difference."""
     forms = decisions.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "form"))), lambda x: x["form"]).alias("forms"))
+    # Words and the rest alternate in a segmented text, so a piece's number gives its word's.
     seg = segments(F.col("text"), profile)
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        n = a["n"] + s["is_word"].cast("int")
-        return F.struct(n.alias("n"), F.concat(a["out"], F.array(F.when(s["is_word"], F.element_at("forms", F.greatest(n, F.lit(1)))).otherwise(s["piece"]))).alias("out"))
-
+    word = lambda i: F.floor(i / 2).cast("int") + 1
+    out = F.array_join(F.transform(seg, lambda s, i: F.when(s["is_word"], F.element_at("forms", word(i))).otherwise(s["piece"])), "")
     rows = texts.join(forms, "id", "left").withColumn("forms", F.coalesce("forms", F.array().cast("array<string>")))
-    out = F.when(F.size("forms") > 0, F.array_join(F.aggregate(seg, start, step, lambda a: a["out"]), "")).otherwise(F.col("text"))
-    rows = rows.select("id", F.col("text").alias("source_text"), out.alias("text"))
+    rows = rows.select("id", F.col("text").alias("source_text"), F.when(F.size("forms") > 0, out).otherwise(F.col("text")).alias("text"))
     if identity:
         ok = profile.strip(F.col("source_text")).eqNullSafe(profile.strip(F.col("text")))
         rows = rows.withColumn("text", F.when(ok, F.col("text")).otherwise(F.raise_error(F.concat(F.lit("identity broken in "), F.col("id").cast("string")))))

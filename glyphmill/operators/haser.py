@@ -47,7 +47,7 @@ def convert(forms: DataFrame, lexicon: DataFrame, holam: bool = False) -> DataFr
     skeleton = HEBREW.strip(F.col("form"))
     maters = forms.select("form").distinct().withColumn("skeleton", skeleton).withColumn("m", mater_positions(F.col("form"), holam=holam))
     maters = maters.where((F.size("m") > 0) & (F.size("m") <= MOST) & (F.length("skeleton") == F.size(letter_slots(F.col("form")))))
-    masks = F.explode(F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size("m")) - 1))
+    masks = F.explode(F.expr("sequence(1, shiftleft(1, size(m)) - 1)"))
     cand = maters.select("form", "skeleton", "m", masks.alias("mask")).withColumn("removed", F.filter("m", lambda x, i: F.getbit(F.col("mask"), i) == 1))
     cand = cand.select("form", "skeleton", "removed", F.explode(F.array(*map(F.lit, range(4)))).alias("plen"))
     least = F.element_at("removed", 1)["pos"]
