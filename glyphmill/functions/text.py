@@ -11,11 +11,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..profile import BEGADKEFAT, DAGESH, HEBREW, HOLAM, LETTERS, LIGATURES, MARKS, QAMATS, QAMATS_QATAN, QUBUTS, SHIN_DOT, SIN_DOT, VAV, VOWELS, ScriptProfile
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition; the one text function that Spark lacks."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))

@@ -12,9 +12,6 @@ from ..operators import cascade, haser, quotes, runs
 from ..profile import HEBREW
 from ..sources import tables
 
-t = F.col("t")
-
-
 def _n(s: str) -> str:
     return unicodedata.normalize("NFC", s)
 
@@ -25,6 +22,7 @@ def _flag(c: Column) -> Column:
 
 
 def _functions() -> dict[str, Column]:
+    t = F.col("t")
     return {
         "strip": text.strip(t),
         "acronym": _flag(text.is_acronym(t)),
