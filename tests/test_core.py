@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glyphmill.functions import clean, spelling, text
 from glyphmill.operators import cascade, corpus, evaluate, lexicon, model, quotes, review, runs
 from glyphmill.plans import hebrew, latin
-from glyphmill.profile import HEBREW, LATIN
+from glyphmill.profile import LATIN
 from glyphmill.sources import tables
 from glyphmill.streaming import ingest
 
@@ -104,14 +104,16 @@ def test_quote_does_not_cross_spans_and_drops_collisions(spark):
     assert [(r["start"], r["end"], r["span_id"]) for r in quotes.matches(q, idx, src).orderBy("start").collect()] == [(1, 5, 1), (5, 9, 2)]
 
 
-class _Upper:
-    def vocalize_batch(self, texts):
-        return [None if "bad" in t else t.replace("e", "é") for t in texts]
+def test_model_layer_is_checked_and_lowest(spark):
+    def backend():
+        class Upper:
+            def vocalize_batch(self, texts):
+                return [None if "bad" in t else t.replace("e", "é") for t in texts]
 
+        return Upper()
 
-def test_model_layer_is_checked_and_lowest(spark):
     texts = spark.createDataFrame([(1, "he we"), (2, "bad he")], "id long, text string")
-    pred = model.predict(texts, _Upper, LATIN)
+    pred = model.predict(texts, backend, LATIN)
     assert [tuple(r) for r in pred.collect()] == [(1, "hé wé")]
     d = cascade.decide(texts, cascade.Resources(model=pred), LATIN).orderBy("id", "idx").collect()
     assert [r["source"] for r in d] == ["model", "model", "unresolved", "unresolved"]
