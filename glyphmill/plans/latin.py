@@ -95,7 +95,7 @@ def mark_flags(spark, d):  # noqa: ANN001, ANN201
 
 def identity_diffs(spark, d):  # noqa: ANN001, ANN201
     t = F.col("text")
-    diff = text.identity_diff(F.substring(t, 1, 400), F.substring(LATIN.strip(t), 1, 400))
+    diff = text.identity_diff(t, LATIN.strip(t))
     return _table(spark, d, "benchmark").select("item_id", diff["at"].cast("long").alias("at"), diff["a"].alias("a"), diff["b"].alias("b"))
 
 
@@ -372,7 +372,7 @@ ORACLE_SQL = {
     "tokens": f"{TOK} select doc_id, idx, form, skeleton, prev, next from tok",
     "segments_lossless": f"select doc_id, len(s) as n_segments, len(list_filter(s, lambda z: regexp_matches(z, '^[A-Za-zÀ-ÖØ-öø-ÿ]'))) as n_words, array_to_string(s, '') = text as lossless from (select doc_id, text, regexp_extract_all(text, '{W}|{_LETTER}+') as s from documents)",
     "mark_flags": f"select doc_id, strip_accents(text) <> text as has_marks, regexp_matches(text, '[A-Za-zÀ-ÖØ-öø-ÿ]') as has_letters, length(regexp_replace(text, '[^éóèñçüêäöíÉÈÑÓÇÄÊÜÖÍ]', '', 'g')) as n_marked, length(regexp_replace(text, '{_LETTER}', '', 'g')) as n_letters from documents",
-    "identity_diffs": "select item_id, p as at, substr(a, greatest(p - 19, 1), 41) as a, substr(b, greatest(p - 19, 1), 41) as b from (select item_id, a, b, list_position(list_transform(range(1, length(a) + 1), lambda i: a[i] <> b[i]), true) - 1 as p from (select item_id, substr(text, 1, 400) as a, substr(strip_accents(text), 1, 400) as b from benchmark)) where a <> b union all select item_id, null, null, null from benchmark where substr(text, 1, 400) = substr(strip_accents(text), 1, 400)",
+    "identity_diffs": "select item_id, p as at, substr(a, greatest(p - 19, 1), 41) as a, substr(b, greatest(p - 19, 1), 41) as b from (select item_id, a, b, list_position(list_transform(range(1, length(a) + 1), lambda i: a[i] <> b[i]), true) - 1 as p from (select item_id, text as a, strip_accents(text) as b from benchmark)) where a <> b union all select item_id, null, null, null from benchmark where text = strip_accents(text)",
     "clean_pages": f"select page_id, md5({_clean_sql('html', True)}) as cleaned_md5, length({_clean_sql('html', True)}) as n from pages",
     "sentences": f"{SENTENCES} select doc_id, line_idx, sent_idx, text, n_words from sents",
     "dedup_sentences": f"{SENTENCES}, {DEDUP} select r.doc_id as doc_id, r.line_idx as line_idx, r.sent_idx as sent_idx, md5(r.text) as text_md5 from first",
