@@ -15,18 +15,41 @@ def _best(*order: Column) -> Column:
     return F.min_by("form", F.struct(-F.col("n"), *order))
 
 
-def form_counts(tokens: DataFrame, *place: str) -> DataFrame:
-    """(skeleton, form, n, first): first is the least place in scan order, which breaks ties."""
-    return tokens.where(~F.col("acronym")).groupBy("skeleton", "form").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*place)).alias("first"))
+def _place(place: tuple[str, ...]) -> Column:
+    """Where a token stands in scan order. One long column keeps the aggregation a hash aggregation; several are compared in turn."""
+    return F.col(place[0]) if len(place) == 1 else F.struct(*place)
 
 
-def bigram_decisions(tokens: DataFrame, *place: str) -> DataFrame:
+def pair_counts(tokens: DataFrame, *place: str, layers: tuple[str, ...] = ()) -> DataFrame:
+    """(prev, skeleton, form, n, first, n_inside, first_inside): the one pass over tokens; everything else sums these up.
+
+    first is the least place in scan order, which breaks ties; the last two count the given layers only.
+    """
+    inside = F.col("layer").isin(list(layers)) if layers else F.lit(False)
+    at = _place(place)
+    return tokens.where(~F.col("acronym")).groupBy("prev", "skeleton", "form").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"), F.count_if(inside).alias("n_inside"), F.min(F.when(inside, at)).alias("first_inside"))
+
+
+def counts_of(pairs: DataFrame) -> DataFrame:
+    """(skeleton, form, n, first, n_inside, first_inside)."""
+    return pairs.groupBy("skeleton", "form").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("n_inside").alias("n_inside"), F.min("first_inside").alias("first_inside"))
+
+
+def decisions_of(pairs: DataFrame) -> DataFrame:
     """(prev, skeleton, form): pairs seen often enough in which one form has its share."""
-    pairs = tokens.where(~F.col("acronym")).groupBy("prev", "skeleton", "form").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*place)).alias("first"))
     decided = pairs.groupBy("prev", "skeleton").agg(F.sum("n").alias("total"), F.max("n").alias("most"), _best(F.col("first")).alias("form"))
     return decided.where((F.col("total") >= BIGRAM_LEAST) & (F.col("most") / F.col("total") >= BIGRAM_RATIO)).select("prev", "skeleton", "form")
 
 
+def form_counts(tokens: DataFrame, *place: str) -> DataFrame:
+    """(skeleton, form, n, first) alone."""
+    return tokens.where(~F.col("acronym")).groupBy("skeleton", "form").agg(F.count(F.lit(1)).alias("n"), F.min(_place(place)).alias("first"))
+
+
+def bigram_decisions(tokens: DataFrame, *place: str) -> DataFrame:
+    return decisions_of(pair_counts(tokens, *place))
+
+
 def entries(counts: DataFrame, decisions: DataFrame, least: int = 1) -> DataFrame:
     """(skeleton, category, best, count, ratio, variants)."""
     by = counts.groupBy("skeleton").agg(F.sum("n").alias("count"), F.max("n").alias("most"), _best(F.col("first")).alias("best"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "first", "form"))).alias("v"))
@@ -37,19 +60,20 @@ def entries(counts: DataFrame, decisions: DataFrame, least: int = 1) -> DataFram
     return by.join(resolvable, "skeleton", "left").select("skeleton", category.alias("category"), "best", "count", "ratio", variants.alias("variants"))
 
 
-def preferred(tokens: DataFrame, lexicon: DataFrame, layers: tuple[str, ...], *place: str) -> DataFrame:
-    """(skeleton, rabbinic): the form of some layers where it is decisive there and not the overall best."""
-    inside = form_counts(tokens.where(F.col("layer").isin(list(layers))), *place)
+def preferred_of(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(skeleton, rabbinic): the form of the counted layers where it is decisive there and not the overall best."""
+    inside = counts.where("n_inside > 0").select("skeleton", "form", F.col("n_inside").alias("n"), F.col("first_inside").alias("first"))
     by = inside.groupBy("skeleton").agg(F.sum("n").alias("total"), F.max("n").alias("most"), _best(F.col("first")).alias("form"))
     by = by.where((F.col("total") >= LEAST) & (F.col("most") / F.col("total") >= RATIO))
     return by.join(lexicon.select("skeleton", "best"), "skeleton").where("form != best").select("skeleton", F.col("form").alias("rabbinic"))
 
 
 def build(tokens: DataFrame, *place: str, layers: tuple[str, ...] = RABBINIC, least: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(lexicon, bigrams): the bigrams whose target isn't unambiguous."""
-    decisions = bigram_decisions(tokens, *place)
-    lex = entries(form_counts(tokens, *place), decisions, least)
-    lex = lex.join(preferred(tokens, lex, layers, *place), "skeleton", "left")
+    """(lexicon, bigrams): the bigrams whose target isn't unambiguous. Tokens are read once; Spark reuses the pairs' exchange."""
+    pairs = pair_counts(tokens, *place, layers=layers)
+    counts, decisions = counts_of(pairs), decisions_of(pairs)
+    lex = entries(counts, decisions, least)
+    lex = lex.join(preferred_of(counts, lex), "skeleton", "left")
     bigrams = decisions.join(lex.where("category != 'unambiguous'").select("skeleton"), "skeleton", "left_semi")
     return lex, bigrams.select("prev", "skeleton", "form")
 

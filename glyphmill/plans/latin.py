@@ -37,10 +37,12 @@ def held_out(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_tokens(docs: DataFrame) -> DataFrame:
-    return corpus.tokens(docs.withColumn("layer", F.col("lang")), LATIN, "doc_id", "layer")
+    """Tokens with `at`, the document's id and the word's number in one long: 2^39 documents of 2^24 words."""
+    t = corpus.tokens(docs.withColumn("layer", F.col("lang")), LATIN, "doc_id", "layer")
+    return t.withColumn("at", F.shiftleft("doc_id", 24) + F.col("idx"))
 
 
-PLACE = ("doc_id", "idx")
+PLACE = ("at",)
 W = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 
 
@@ -186,12 +188,13 @@ def content_hash(spark, d):  # noqa: ANN001, ANN201
 
 def lexicon_forms(spark, d):  # noqa: ANN001, ANN201
     c = lexicon.form_counts(doc_tokens(_table(spark, d, "documents")), *PLACE)
-    return c.select("skeleton", "form", "n", F.col("first.doc_id").alias("first_doc"), F.col("first.idx").cast("long").alias("first_idx"))
+    return c.select("skeleton", "form", "n", F.shiftright("first", 24).alias("first_doc"), F.col("first").bitwiseAND((1 << 24) - 1).alias("first_idx"))
 
 
 def _built(spark, d):  # noqa: ANN001, ANN202
-    t = doc_tokens(_table(spark, d, "documents"))
-    return t, lexicon.entries(lexicon.form_counts(t, *PLACE), lexicon.bigram_decisions(t, *PLACE))
+    pairs = lexicon.pair_counts(doc_tokens(_table(spark, d, "documents")), *PLACE, layers=LAYERS)
+    counts = lexicon.counts_of(pairs)
+    return counts, lexicon.entries(counts, lexicon.decisions_of(pairs))
 
 
 def lexicon_entries(spark, d):  # noqa: ANN001, ANN201
@@ -207,8 +210,7 @@ def bigram_table(spark, d):  # noqa: ANN001, ANN201
 
 
 def preferred_forms(spark, d):  # noqa: ANN001, ANN201
-    t, lex = _built(spark, d)
-    return lexicon.preferred(t, lex, LAYERS, *PLACE)
+    return lexicon.preferred_of(*_built(spark, d))
 
 
 def names(spark, d):  # noqa: ANN001, ANN201
