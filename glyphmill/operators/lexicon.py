@@ -69,7 +69,7 @@ def preferred_of(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def build(tokens: DataFrame, *place: str, layers: tuple[str, ...] = RABBINIC, least: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(lexicon, bigrams): the bigrams whose target isn't unambiguous. Tokens are read once; Spark reuses the pairs' exchange."""
+    """(lexicon, bigrams): the bigrams whose target isn't unambiguous. Counts and decisions sum up the same pairs, so the heavy grouping of tokens is one."""
     pairs = pair_counts(tokens, *place, layers=layers)
     counts, decisions = counts_of(pairs), decisions_of(pairs)
     lex = entries(counts, decisions, least)
