@@ -242,14 +242,16 @@ def _unsettled(members: DataFrame, roots: DataFrame, texts: DataFrame, plan: Pla
     asked = open_members.select("bucket", "band", "centers", "v", "root", "signature", "text", F.explode(F.sequence(F.lit(0), askers - 1)).alias("asker"), of(blocks).alias("block"), F.lit(False).alias("asks"))
 
     def compare(rows):  # noqa: ANN001, ANN202
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute  # noqa: F401
 
-        ask, all_ = rows[rows["asks"]], rows[~rows["asks"]]
+        asks = rows.column("asks")
+        ask, all_ = rows.filter(asks), rows.filter(pa.compute.invert(asks))
         found: list[tuple[bytes, bytes]] = []
         if len(ask) and len(all_):
-            band, centers = int(rows["band"].iloc[0]), set(rows["centers"].iloc[0])
-            sa, sb = (np.stack([np.frombuffer(s, np.uint32) for s in x["signature"]]) for x in (ask, all_))
-            va, vb, ra, rb, ta, tb = (x[c].tolist() for c in ("v", "root", "text") for x in (ask, all_))
+            band, centers = rows.column("band")[0].as_py(), set(rows.column("centers")[0].as_py())
+            sa, sb = (_rows(x.column("signature")) for x in (ask, all_))
+            va, vb, ra, rb, ta, tb = (x.column(c).to_pylist() for c in ("v", "root", "text") for x in (ask, all_))
             number = {r: k for k, r in enumerate({*ra, *rb})}
             na, nb = np.array([number[r] for r in ra]), np.array([number[r] for r in rb])
             open_ = (na[:, None] != nb) & np.array([v not in centers for v in va])[:, None] & np.array([v not in centers for v in vb])
@@ -274,10 +276,10 @@ def _unsettled(members: DataFrame, roots: DataFrame, texts: DataFrame, plan: Pla
                     if x != y:
                         top[x] = y
                         found.append((va[ia[i]], vb[ib[j]]))
-        return pd.DataFrame(found, columns=["u", "v"])
+        return pa.table({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
 
     spread = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, much work: not to be coalesced
-    return asking.unionByName(asked).repartition(spread, "bucket", "asker", "block").groupBy("bucket", "asker", "block").applyInPandas(compare, "u binary, v binary")
+    return asking.unionByName(asked).repartition(spread, "bucket", "asker", "block").groupBy("bucket", "asker", "block").applyInArrow(compare, "u binary, v binary")
 
 
 def link(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
