@@ -22,21 +22,25 @@ from pyspark.sql import functions as F
 ROW_BYTES = 16
 
 
-def draw(key: Column, shard: int) -> Column:
+def draw(key: Column, shard: Column) -> Column:
     """A number in (0, 1) that depends on key and shard alone: the first 13 hex digits of an MD5."""
-    digits = F.substring(F.md5(F.concat(key, F.lit(f":{shard}")).cast("binary")), 1, 13)
+    digits = F.substring(F.md5(F.concat(key, F.lit(":"), shard.cast("string")).cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def bid(key: Column, shard: int, weight: float) -> Column:
-    return -F.log(draw(key, shard)) / F.lit(float(weight))
+def bid(key: Column, shard: Column, weight: Column) -> Column:
+    return -F.log(draw(key, shard)) / weight
 
 
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
-    """struct(bid, shard) of the least weighted draw, the lower number if draws tie. Shards of weight 0 get nothing."""
+    """struct(bid, shard) of the least weighted draw, the lower number if draws tie. Shards of weight 0 get nothing.
+
+    One lambda over the shards instead of an expression for each: code generated for forty of them takes gigabytes to compile.
+    """
     if any(w < 0 for w in weights) or not any(weights):
         raise ValueError("weights must not be negative, and one must be positive")
-    return F.array_min(F.array(*[F.struct(bid(key, k, w).alias("bid"), F.lit(k).alias("shard")) for k, w in enumerate(weights) if w]))
+    places = F.array(*[F.struct(F.lit(k).alias("shard"), F.lit(float(w)).alias("weight")) for k, w in enumerate(weights) if w])
+    return F.array_min(F.transform(places, lambda s: F.struct(bid(key, s["shard"], s["weight"]).alias("bid"), s["shard"].alias("shard"))))
 
 
 def shards(docs: DataFrame, weights: Sequence[float] = (1.0,) * 40) -> DataFrame:
@@ -60,7 +64,7 @@ def shards(docs: DataFrame, weights: Sequence[float] = (1.0,) * 40) -> DataFrame
             "text_crc32",
             "copies",
             F.col("won.shard").alias("shard"),
-            F.when(bid(key, new, new_weight) < F.col("won.bid"), new).otherwise(F.col("won.shard")).alias("grown_shard"),
+            F.when(bid(key, F.lit(new), F.lit(float(new_weight))) < F.col("won.bid"), new).otherwise(F.col("won.shard")).alias("grown_shard"),
             F.conv(F.substring(F.md5(F.concat(key, F.lit(":"), F.col("text_crc32").cast("string"), F.lit(":cell")).cast("binary")), 1, 3), 16, 10).cast("int").alias("cell"),
         )
     )

@@ -360,7 +360,7 @@ def test_secrets(spark, docs, nothing):
     out = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert out == {**dict(enumerate(texts)), 0: 'the token = "[SECRET]" here', 2: "é [SECRET] end", 7: 'secret: "[SECRET]" and token = "[SECRET]"'}
     assert secrets.scan(nothing).count() == 0 and secrets.redact(docs).columns == docs.columns
-    plan = secrets.scan(docs)._jdf.queryExecution().toString()
+    plan = secrets.scan(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
