@@ -1,15 +1,16 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 Symbols are the lower-cased (A-Z) words of a text and one end symbol behind them. The root holds the additive estimate of every training word,
-known or not. A context of one or two words becomes a state if its next symbols diverge from those of its suffix by more than they cost to
-store: a pair (context, next) is kept if its count times the log ratio of both estimates is at least ln N,
-and a context if the sum over its kept pairs, less what its other symbols lose, is at least ln N too. Next-symbol
-distributions are smoothed by absolute discounting: P(w|s) = (c(s, w) - D) / c(s) for kept pairs, plus what is left over times
-P(w | suffix of s). A text is scored with the longest suffix state at each place.
+known or not. A context of one or more words that occurs at least LEAST_CONTEXT times becomes a state if its suffix is one (or the root) and its next
+symbols diverge from those of the suffix by more than they cost to store: a pair (context, next) is kept if it occurs twice and its count times the
+log ratio of both estimates is at least ln N, and a context if the sum over its kept pairs, less what its other symbols lose, is at least ln N too.
+Contexts grow by a word as long as any state of the last length was kept. Next-symbol distributions are smoothed by absolute discounting:
+P(w|s) = (c(s, w) - D) / c(s) for kept pairs, plus what is left over times P(w | suffix of s). A text is scored with the longest suffix state at each place.
 
-The counts of all words come from all training rows. Only the head of the vocabulary, at most HEAD_WORDS words chosen by a count
-threshold, is broadcast, as are states (at most N / least count of each length) and pairs (at most MAX_PAIRS, again by
-threshold). All other words are the tail: (row, word) rows of the tail meet the whole count table in a join, so every word's count is exact.
+Words and contexts are keyed by 64-bit hashes, and contexts, pairs and states are tables joined by key. Two caches are broadcast and decide nothing but speed:
+the HEAD_WORDS most frequent words, and the states of the most frequent contexts with at most CACHED_PAIRS pairs. A place that a cache can't settle asks
+the tables in a join; a Bloom filter of the other states spares the places that have none. The counts of words outside the head come from a join on
+the words themselves.
 
 Defined results: a null or empty text is the end symbol alone; with no training rows N is 0 and every word has probability 1; a null id counts
 as training (its fold is 0); repeated rows are scored each; extra columns are ignored.
@@ -18,19 +19,19 @@ as training (its fold is 0); repeated rows are scored each; extra columns are ig
 from __future__ import annotations
 
 import math
+from hashlib import blake2b
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, byte_groups, checkpointed, fold, lower_bytes
+from .common import bound_batches, byte_groups, checkpointed, fold, lower_bytes, stored
 
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 200_000
-MAX_PAIRS = 200_000
-#: A context must have at least N / CONTEXTS occurrences, so there are at most CONTEXTS of each length.
-CONTEXTS = 20_000
+CACHED_PAIRS = 400_000
 LEAST_CONTEXT = 8
+FILTER_BITS = 27
 DISCOUNT = 0.75
 GROUP_CHARS = 4_000_000
 END = b""  # no word is empty
@@ -42,12 +43,62 @@ def symbols(text: str | None) -> list[bytes]:
     return out
 
 
+class Hashes(dict):
+    """64-bit hashes of words, kept for the most recent ones."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        out = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return out
+
+
+#: A context's hash is the polynomial of its words' hashes with this base modulo 2^64; the last word has power 0.
+POWER = np.int64(-7046029254386353131)
+
+
+class Filter:
+    """A Bloom filter of three bits a key."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+
+    @staticmethod
+    def places(keys: np.ndarray) -> list[np.ndarray]:
+        k = keys.view(np.uint64)
+        return [(k * np.uint64(m)) >> np.uint64(64 - FILTER_BITS) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+
+    @classmethod
+    def of(cls, keys: DataFrame) -> Filter:
+        """Of one column of longs; built in tasks, of which a few partial filters reach the driver."""
+
+        def run(batches):  # noqa: ANN001, ANN202
+            import pyarrow as pa
+
+            bits = np.zeros(1 << FILTER_BITS, bool)
+            for batch in batches:
+                for at in cls.places(batch.column(0).to_numpy(zero_copy_only=False)):
+                    bits[at] = True
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
+        out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+        for row in keys.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator():
+            out |= np.frombuffer(row[0], np.uint8)
+        return cls(out)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for at in self.places(keys):
+            out &= (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+        return out
+
+
 def training(docs: DataFrame) -> DataFrame:
     return docs.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, count) over all training rows; counted inside tasks first."""
+    """(word, hash, count) over all training rows; counted inside tasks first."""
 
     def run(batches):  # noqa: ANN001, ANN202
         from collections import Counter
@@ -55,7 +106,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         counts: Counter[bytes] = Counter()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "count"])
+        hashes = Hashes()
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array([hashes[w] for w in counts], pa.int64()), pa.array(counts.values(), pa.int64())], ["word", "hash", "count"])
         for batch in batches:
             texts = batch.column("text")
             for k in range(batch.num_rows):
@@ -65,14 +117,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     counts.clear()
         yield flush()
 
-    return training(docs).select("text").mapInArrow(run, "word binary, count long").groupBy("word").agg(F.sum("count").alias("count"))
+    return training(docs).select("text").mapInArrow(run, "word binary, hash long, count long").groupBy("word", "hash").agg(F.sum("count").alias("count"))
 
 
-def _threshold(rows: DataFrame, column: str, most: int) -> int:
-    """The least value t such that at most `most` rows have column >= t; values above 4096 only count by powers of two."""
+def _threshold(rows: DataFrame, column: str, most: int, weight: str | None = None) -> int:
+    """The least value t such that the rows with column >= t number (or weigh) at most `most`; values above 4096 only count by powers of two."""
     value = F.floor(F.col(column)).cast("long")
     step = F.when(value < 4096, value).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.col(column)))).cast("long"))
-    steps = sorted(((r[0], r[1]) for r in rows.groupBy(step).count().collect()), reverse=True)
+    steps = sorted(((r[0], r[1]) for r in rows.groupBy(step).agg(F.sum(weight) if weight else F.count(F.lit(1))).collect()), reverse=True)
     total, out = 0, 1 << 62
     for value, n in steps:
         total += n
@@ -101,30 +153,20 @@ def _id_table(shared) -> dict[bytes, int]:  # noqa: ANN001
     return head._table
 
 
-def _sequences(batches, table: dict[bytes, int]):  # noqa: ANN001, ANN202
-    """Groups of texts as (row numbers in the batch, batch, ids with -1 for the tail, lengths)."""
-    get = table.get
+def _sequences(batches, table: dict[bytes, int], hashes: Hashes):  # noqa: ANN001, ANN202
+    """Groups of texts as (batch, row numbers in it, texts, ids with -1 for the tail, word hashes, lengths)."""
+    get, of = table.get, hashes.__getitem__
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for group in byte_groups(texts, GROUP_CHARS):
-            ids: list[int] = []
+            all_words: list[bytes] = []
             sizes: list[int] = []
             for i in group:
                 w = symbols(texts[i])
-                ids += [get(x, -1) for x in w]
+                all_words += w
                 sizes.append(len(w))
-            yield batch, group, texts, np.array(ids, np.int64), np.array(sizes, np.int64)
-
-
-def _shift(ids: np.ndarray, sizes: np.ndarray, by: int) -> np.ndarray:
-    """The symbol `by` places before each one in its own text, or -1."""
-    out = np.full(len(ids), -1, np.int64)
-    out[by:] = ids[:-by] if by else ids
-    starts = np.cumsum(sizes) - sizes
-    for k in range(by):
-        at = starts + k
-        out[at[at < starts + sizes]] = -1
-    return out
+            ids = np.array([get(x, -1) for x in all_words], np.int64) if table else np.full(len(all_words), -1, np.int64)
+            yield batch, group, texts, ids, np.array([of(x) for x in all_words], np.int64), np.array(sizes, np.int64)
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -135,116 +177,199 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
+def _contexts(words: np.ndarray, sizes: np.ndarray, most: int):  # noqa: ANN202
+    """For each length up to `most`: the hash of the words before each place and whether there are that many in its text."""
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out, power = np.zeros(len(words), np.int64), np.ones(1, np.int64)
+    for depth in range(1, most + 1):
+        out = out.copy()
+        out[depth:] += words[:-depth] * power
+        power = power * POWER
+        yield out, place >= depth
+
+
 def pair_counts(docs: DataFrame, shared, depth: int) -> DataFrame:  # noqa: ANN001
-    """(state, next, count) for the candidate contexts of one length; next is a head id."""
+    """(context, next, count) by hashes for the contexts of one length that the filter (if any) knows."""
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
-        value = shared.value
-        contexts = value["contexts"][depth - 1]
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        only, hashes = shared.value["filter"], Hashes()
+        held: list[np.ndarray] = []
         size = 0
 
         def merged():  # noqa: ANN202
-            keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-            unique, inverse = np.unique(keys, return_inverse=True)
-            return unique, np.bincount(inverse, weights=counts).astype(np.int64)
-
-        def out(keys: np.ndarray, counts: np.ndarray):  # noqa: ANN202
-            return pa.RecordBatch.from_arrays([pa.array(keys >> 32, pa.int64()), pa.array(keys & 0xFFFFFFFF, pa.int64()), pa.array(counts)], ["state", "next", "count"])
-
-        for _, _, _, ids, sizes in _sequences(batches, _id_table(shared)):
-            state = _states(ids, sizes, contexts, depth)
-            ok = (state >= 0) & (ids >= 0)
-            held.append(np.unique(state[ok] << 32 | ids[ok], return_counts=True))
-            size += len(held[-1][0])
+            rows = np.concatenate(held)
+            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+            first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
+            return pa.RecordBatch.from_arrays([pa.array(rows[first, 0]), pa.array(rows[first, 1]), pa.array(np.diff(np.r_[first, len(rows)]))], ["context", "next", "count"])
+
+        for _, _, _, _, words, sizes in _sequences(batches, {}, hashes):
+            *_, (context, ok) = _contexts(words, sizes, depth)
+            at = np.flatnonzero(ok)
+            if only is not None:
+                at = at[only.has(context[at])]
+            held.append(np.column_stack([context[at], words[at]]))
+            size += len(at)
             if size > 4_000_000:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > 2_000_000:
-                    yield out(*held[0])
-                    held, size = [], 0
-        if held:
-            yield out(*merged())
+                yield merged()
+                held, size = [], 0
+        if size:
+            yield merged()
+
+    return training(docs).select("text").mapInArrow(run, "context long, next long, count long").groupBy("context", "next").agg(F.sum("count").alias("count"))
 
-    return training(docs).select("text").mapInArrow(run, "state long, next long, count long").groupBy("state", "next").agg(F.sum("count").alias("count"))
 
+def _longer(pairs: DataFrame) -> DataFrame:
+    """(context, suffix, total) one word longer: the frequent pairs of the last length. A part of a frequent context is frequent, so none is missed."""
 
-def _states(ids: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, depth: int) -> np.ndarray:
-    """Index into the sorted contexts of one length (ids packed by 32 bits) for each place, or -1."""
-    before = _shift(ids, sizes, 1)
-    if depth == 1:
-        return np.where(before >= 0, _find(contexts, before), -1)
-    further = _shift(ids, sizes, 2)
-    return np.where((before >= 0) & (further >= 0), _find(contexts, further << 32 | np.maximum(before, 0)), -1)
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        for batch in batches:
+            context, suffix, nxt, count = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("context", "suffix", "next", "count"))
+            yield pa.RecordBatch.from_arrays([pa.array(context * POWER + nxt), pa.array(suffix * POWER + nxt), pa.array(count)], ["context", "suffix", "total"])
+
+    rows = pairs.where((F.col("count") >= LEAST_CONTEXT) & (F.col("next") != Hashes()[END]))
+    return rows.select("context", "suffix", "next", "count").mapInArrow(run, "context long, suffix long, total long")
 
 
 class Level:
-    """States of one length: sorted contexts, the weight left for the suffix, and sorted (state, next) pairs with their discounted shares."""
+    """Cached states of one length: sorted contexts, the weight left for the suffix, and sorted (state, next) pairs with their discounted shares."""
 
     def __init__(self, contexts: np.ndarray, left: np.ndarray, keys: np.ndarray, shares: np.ndarray) -> None:
         self.contexts, self.left, self.keys, self.shares = contexts, left, keys, shares
 
 
-def _telling(counts: DataFrame, shared, depth: int, cost: float) -> DataFrame:  # noqa: ANN001
-    """counts with share, below (the suffix's probability) and gain, for the pairs that gain enough; weighed where they lie."""
+def _known_places(ids: np.ndarray, sizes: np.ndarray, levels: list[Level], words: np.ndarray):  # noqa: ANN202
+    """For each length: the context's hash, whether the text has that many words before, the cached state or -1, and its discounted share of the symbol (0 for the tail)."""
+    for level, (context, ok) in zip(levels, _contexts(words, sizes, len(levels)), strict=True):
+        state = np.where(ok, _find(level.contexts, context), -1)
+        found = np.where((state >= 0) & (ids >= 0), _find(level.keys, np.maximum(state, 0) << 32 | np.maximum(ids, 0)), -1)
+        share = np.where(found >= 0, level.shares[np.maximum(found, 0)] if len(level.shares) else 0.0, 0.0)
+        yield context, ok, state, share
 
-    def run(batches):  # noqa: ANN001, ANN202
-        import pyarrow as pa
 
-        value = shared.value
-        contexts, totals, root = value["contexts"][depth - 1], value["totals"][depth - 1], value["head"].root()
-        for batch in batches:
-            state, nxt, count = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("state", "next", "count"))
-            below = root[nxt]
-            if depth == 2:
-                first = value["levels"][0]
-                s = _find(first.contexts, contexts[state] & 0xFFFFFFFF)
-                found = _find(first.keys, s << 32 | nxt)
-                below = np.where(found >= 0, first.shares[np.maximum(found, 0)] if len(first.shares) else 0.0, 0.0) + first.left[s] * below
-            share = (count - DISCOUNT) / totals[state]
-            gain = count * np.log(share / below)
-            keep = (gain >= cost) & (count > 1)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (state, nxt, count, share, below, gain)], ["state", "next", "count", "share", "below", "gain"])
-
-    return counts.mapInArrow(run, "state long, next long, count long, share double, below double, gain double")
-
-
-def _level(counts: DataFrame, shared, depth: int, cost: float) -> Level:  # noqa: ANN001
-    """The pairs and states of one length that diverge enough."""
-    contexts, totals = shared.value["contexts"][depth - 1], shared.value["totals"][depth - 1]
-    kept = checkpointed(_telling(counts, shared, depth, cost))
-    rows = kept.where(F.col("gain") >= _threshold(kept, "gain", MAX_PAIRS)).toPandas()
-    state, nxt, count = (rows[c].to_numpy(np.int64) for c in ("state", "next", "count"))
-    share, below, gain = (rows[c].to_numpy(float) for c in ("share", "below", "gain"))
-    n = len(contexts)
-    left = 1.0 - np.bincount(state, share, n)
-    rest = totals - np.bincount(state, count, n)
-    outside = np.maximum(1.0 - np.bincount(state, below, n), 1e-12)
-    divergence = np.bincount(state, gain, n) + rest * np.log(np.maximum(left, 1e-12) / outside)
-    good = (np.bincount(state, minlength=n) > 0) & (divergence >= cost)
-    new = np.cumsum(good) - 1
-    ok = good[state]
-    keys = new[state[ok]] << 32 | nxt[ok]
-    order = np.argsort(keys)
-    return Level(contexts[good], left[good], keys[order], share[ok][order])
-
-
-def _probabilities(ids: np.ndarray, sizes: np.ndarray, root: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """P of each symbol; for the tail, the weight that is left for the root's probability."""
-    p = np.where(ids >= 0, root[np.maximum(ids, 0)], 1.0)
-    for depth, level in enumerate(levels, 1):
-        state = _states(ids, sizes, level.contexts, depth)
+def _probabilities(ids: np.ndarray, sizes: np.ndarray, root: np.ndarray, levels: list[Level], words: np.ndarray | None = None) -> np.ndarray:
+    """P of each symbol by the cached states; for the tail, the weight that is left for the root's probability. Contexts are made of `words`, or the ids."""
+    p = np.where(ids >= 0, root[np.maximum(ids, 0)] if len(root) else 1.0, 1.0)
+    for level, (_, _, state, share) in zip(levels, _known_places(ids, sizes, levels, ids if words is None else words), strict=True):
         at = np.flatnonzero(state >= 0)
-        if not len(at):
-            continue
-        found = _find(level.keys, state[at] << 32 | np.maximum(ids[at], 0))
-        share = np.where((found >= 0) & (ids[at] >= 0), level.shares[np.maximum(found, 0)] if len(level.shares) else 0.0, 0.0)
-        p[at] = share + level.left[state[at]] * p[at]
+        p[at] = share[at] + level.left[state[at]] * p[at]
     return p
 
 
+class Model:
+    """The tree as tables: states (context, depth, left, total, n_pairs) and kept pairs (context, next, share, lift), where lift is share / root."""
+
+    def __init__(self, states: DataFrame, pairs: DataFrame, depth: int) -> None:
+        self.states, self.pairs, self.depth = states, pairs, depth
+
+
+def grow(docs: DataFrame, counts: DataFrame, tokens: int, total: float) -> Model | None:
+    """All states of all lengths, until none of a length is kept."""
+    spark = docs.sparkSession
+    cost = math.log(max(tokens, 3))
+    contexts = counts.where((F.col("count") >= LEAST_CONTEXT) & (F.col("word") != F.lit(END))).select(F.col("hash").alias("context"), F.lit(0).cast("long").alias("suffix"), F.col("count").alias("total"))
+    root = counts.select(F.col("hash").alias("next"), ((F.col("count") + 0.5) / total).alias("root")).withColumn("below", F.col("root"))
+    states: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    depth, only = 1, None
+    while not contexts.isEmpty():
+        shared = spark.sparkContext.broadcast({"filter": only})
+        found = pair_counts(docs, shared, depth).where(F.col("count") > 1).join(contexts, "context")
+        # Pairs behind a suffix that is no state have no `below`: they only lead to longer contexts.
+        pairs = stored(found.join(root, "next") if depth == 1 else found.join(root, ["suffix", "next"], "left"))
+        shared.unpersist()
+        share = (F.col("count") - DISCOUNT) / F.col("total")
+        telling = pairs.withColumn("share", share).withColumn("gain", F.col("count") * F.log(F.col("share") / F.col("below"))).where(F.col("gain") >= cost)
+        state = telling.groupBy("context").agg(F.sum("share").alias("shares"), F.sum("count").alias("counts"), F.sum("below").alias("belows"), F.sum("gain").alias("gains"), F.first("total").alias("total"), F.count(F.lit(1)).alias("n_pairs"))
+        left = F.greatest(1.0 - F.col("shares"), F.lit(0.0))
+        rest = (F.col("total") - F.col("counts")) * F.log(F.greatest(left, F.lit(1e-12)) / F.greatest(1.0 - F.col("belows"), F.lit(1e-12)))
+        state = stored(state.where(F.col("gains") + rest >= cost).select("context", F.lit(depth).alias("depth"), left.alias("left"), "total", "n_pairs"))
+        if state.isEmpty():
+            break
+        mine = state.select("context", "left")
+        states.append(state)
+        kept.append(telling.join(mine, "context", "left_semi").select("context", "next", "share", (F.col("share") / F.col("root")).alias("lift")))
+        p = F.when(F.col("count") * F.log(share / F.col("below")) >= cost, share).otherwise(0.0) + F.col("left") * F.col("below")
+        root = pairs.join(mine, "context").select(F.col("context").alias("suffix"), "next", "root", p.alias("below"))
+        contexts = stored(_longer(pairs))
+        if contexts.join(mine.select(F.col("context").alias("suffix")), "suffix", "left_semi").isEmpty():
+            break
+        only, depth = Filter.of(contexts.select("context")), depth + 1
+    if not states:
+        return None
+    both = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(both(parts[1:]))
+    return Model(both(states), stored(both(kept)), len(states))
+
+
+def cached(model: Model, hashes: np.ndarray) -> tuple[list[Level], Filter | None]:
+    """The states of the most frequent contexts, and a filter of the other states and of these states' pairs with words outside the head."""
+    cut = _threshold(model.states, "total", CACHED_PAIRS, "n_pairs")
+    near = model.states.where(F.col("total") >= cut)
+    pairs = model.pairs.join(near.select("context"), "context", "left_semi").select("context", "next", "share").toPandas()
+    rows = near.select("context", "depth", "left").toPandas()
+    order = np.argsort(hashes)
+    at = _find(hashes[order], pairs["next"].to_numpy(np.int64))
+    head = at >= 0
+    levels = []
+    for depth in range(1, model.depth + 1):
+        mine = rows[rows["depth"] == depth].sort_values("context")
+        contexts = mine["context"].to_numpy(np.int64)
+        state = _find(contexts, pairs["context"].to_numpy(np.int64))
+        ok = (state >= 0) & head
+        keys = state[ok] << 32 | order[at[ok]]
+        by = np.argsort(keys)
+        levels.append(Level(contexts, mine["left"].to_numpy(float), keys[by], pairs["share"].to_numpy(float)[ok][by]))
+    far = model.states.where(F.col("total") < cut).select("context")
+    outside = pairs[~head]
+    if far.isEmpty() and not len(outside):
+        return levels, None
+    rest = Filter.of(far)
+    for places in Filter.places(outside["context"].to_numpy(np.int64) * POWER + outside["next"].to_numpy(np.int64)):
+        np.bitwise_or.at(rest.bits, places >> np.uint64(3), (128 >> (places & np.uint64(7))).astype(np.uint8))
+    return levels, rest
+
+
+def _asked(ids: np.ndarray, sizes: np.ndarray, words: np.ndarray, root: np.ndarray, levels: list[Level], far: Filter | None):  # noqa: ANN202
+    """(places that the caches can't settle, questions about them): a question is a place's state of one length; what the caches know of it is given, the rest NaN."""
+    remote = np.zeros(len(ids), bool)
+    if far is None:
+        return remote, []
+    seen = []
+    for context, ok, state, share in _known_places(ids, sizes, levels, words):
+        other = np.zeros(len(ids), bool)
+        at = np.flatnonzero(ok & (state < 0))
+        other[at] = far.has(context[at])
+        at = np.flatnonzero((state >= 0) & (ids < 0))
+        tail = np.zeros(len(ids), bool)
+        tail[at] = far.has(context[at] * POWER + words[at])
+        remote |= other | tail
+        seen.append((context, state, share, other, tail))
+    asked = []
+    for depth, (level, (context, state, share, other, tail)) in enumerate(zip(levels, seen, strict=True), 1):
+        at = np.flatnonzero(remote & ((state >= 0) | other))
+        left = np.where(state[at] >= 0, level.left[np.maximum(state[at], 0)] if len(level.left) else np.nan, np.nan)
+        base = root[np.maximum(ids[at], 0)] if len(root) else np.ones(len(at))
+        lift = np.where(other[at] | tail[at], np.nan, share[at] / base)
+        asked.append((at, np.full(len(at), depth), context[at], words[at], left, lift))
+    return remote, [np.concatenate(x) for x in zip(*asked, strict=True)]
+
+
+def _answered(scored: DataFrame, model: Model) -> DataFrame:
+    """(row, far_gain): the log10 of P / P(root) over the places of a row that the caches couldn't settle."""
+    asked = scored.select("row", F.explode("asked").alias("a")).select("row", "a.*")
+    unknown = asked.where(F.isnan("lift")).drop("lift").join(model.pairs.select("context", "next", "lift"), ["context", "next"], "left").withColumn("lift", F.coalesce("lift", F.lit(0.0)))
+    given = unknown.where(~F.isnan("left"))
+    looked = unknown.where(F.isnan("left")).drop("left").join(model.states.select("context", "left"), "context")
+    known = asked.where(~F.isnan("lift"))
+    names = ["row", "place", "depth", "lift", "left"]
+    states = known.select(names).unionByName(given.select(names)).unionByName(looked.select(names)).groupBy("row", "place").agg(F.array_sort(F.collect_list(F.struct("depth", "lift", "left"))).alias("s"))
+    gain = F.log10(F.aggregate("s", F.lit(1.0), lambda q, x: x["lift"] + x["left"] * q))
+    return states.groupBy("row").agg(F.sum(gain).alias("far_gain"))
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
@@ -252,40 +377,22 @@ def score(docs: DataFrame) -> DataFrame:
     counts = checkpointed(word_counts(docs))
     tokens, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
     cut = _threshold(counts, "count", HEAD_WORDS)
-    rows = counts.where(F.col("count") >= cut).toPandas()
+    rows = counts.where(F.col("count") >= cut).sort(F.desc("count"), "word").toPandas()
     head = Head([bytes(w) for w in rows["word"]], rows["count"].to_numpy(np.int64), tokens, distinct)
-    root = head.root()
-    least = max(LEAST_CONTEXT, tokens / CONTEXTS)
-    cost = math.log(max(tokens, 3))
-    one = np.array([i for i, (w, c) in enumerate(zip(head.words, head.counts.tolist(), strict=True)) if w != END and c >= least], np.int64)
-    levels: list[Level] = []
-    if len(one):
-        contexts, totals = [one], [head.counts[one].astype(float)]
-        shared = spark.sparkContext.broadcast({"head": head, "contexts": contexts, "totals": totals})
-        pairs = checkpointed(pair_counts(docs, shared, 1))
-        levels.append(_level(pairs, shared, 1, cost))
-        frequent = pairs.where(F.col("count") >= least).toPandas()  # at most N / least rows
-        a, b, n = one[frequent["state"].to_numpy(np.int64)], frequent["next"].to_numpy(np.int64), frequent["count"].to_numpy(float)
-        inner = np.array([head.words[i] != END for i in b], bool) & (_find(levels[0].contexts, b) >= 0)
-        packed = (a << 32 | b)[inner]
-        order = np.argsort(packed)
-        if len(packed):
-            contexts, totals = [one, packed[order]], [*totals, n[inner][order]]
-            shared.unpersist()
-            shared = spark.sparkContext.broadcast({"head": head, "contexts": contexts, "totals": totals, "levels": levels})
-            levels = [*levels, _level(pair_counts(docs, shared, 2), shared, 2, cost)]
-        shared.unpersist()
-    shared = spark.sparkContext.broadcast({"head": head, "levels": levels})
+    model = grow(docs, counts, tokens, head.total)
+    levels, far = cached(model, rows["hash"].to_numpy(np.int64)) if model else ([], None)
+    shared = spark.sparkContext.broadcast({"head": head, "levels": levels, "far": far})
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
         value = shared.value
-        base = value["head"].root()
-        for batch, group, texts, ids, sizes in _sequences(batches, _id_table(shared)):
+        base, levels, far, hashes = value["head"].root(), value["levels"], value["far"], Hashes()
+        for batch, group, texts, ids, words, sizes in _sequences(batches, _id_table(shared), hashes):
             known = ids >= 0
-            logs = np.log10(_probabilities(ids, sizes, base, value["levels"]))
             plain = np.where(known, np.log10(base)[np.maximum(ids, 0)] if len(base) else 0.0, 0.0)
+            remote, asked = _asked(ids, sizes, words, base, levels, far)
+            logs = np.where(remote, plain, np.log10(_probabilities(ids, sizes, base, levels, words)))
             starts = np.cumsum(sizes) - sizes
             of = lambda x: np.add.reduceat(x, starts)
             tails = []
@@ -293,24 +400,35 @@ def score(docs: DataFrame) -> DataFrame:
                 missing = np.flatnonzero(~known[starts[k] : starts[k] + sizes[k]])
                 w = symbols(texts[i]) if len(missing) else []
                 tails.append([w[j] for j in missing])
+            if asked:
+                order = np.argsort(asked[0], kind="stable")
+                asked = [x[order] for x in asked]
+                ends = np.searchsorted(asked[0], np.r_[starts, len(ids)])
+            else:
+                asked, ends = [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, float, float)], np.zeros(len(sizes) + 1, np.int64)
+            asked = pa.StructArray.from_arrays([pa.array(x) for x in asked], ["place", "depth", "context", "next", "left", "lift"])
+            asked = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), asked)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(group.start, len(group)), pa.array(sizes), pa.array(of(known.astype(np.int64))), pa.array(of(plain)), pa.array(of(logs)), pa.array(tails, pa.list_(pa.binary()))],
-                ["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail"],
+                [batch.column("doc_id").slice(group.start, len(group)), pa.array(sizes), pa.array(of(known.astype(np.int64))), pa.array(of(plain)), pa.array(of(logs)), pa.array(tails, pa.list_(pa.binary())), asked],
+                ["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail", "asked"],
             )
 
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>")
+    question = "array<struct<place: long, depth: long, context: long, next: long, left: double, lift: double>>"
+    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>, asked {question}")
     scored = checkpointed(scored.withColumn("row", F.monotonically_increasing_id()))
     tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
-    rare = counts.where(F.col("count") < cut)
+    rare = counts.where(F.col("count") < cut).drop("hash")
     log = F.log10((F.coalesce("count", F.lit(0)) + 0.5) / F.lit(float(head.total)))
     tail = tail.join(rare, "word", "left").groupBy("row").agg(F.sum(F.when(F.col("count") > 0, F.col("k")).otherwise(0)).alias("tail_known"), F.sum(F.col("k") * log).alias("tail_score"))
     whole = lambda c, t, zero: F.col(c) + F.coalesce(F.col(t), F.lit(zero))
-    return scored.drop("tail").join(tail, "row", "left").select(
+    out = scored.drop("tail", "asked").join(tail, "row", "left")
+    out = out.withColumn("far_gain", F.lit(0.0)) if far is None else out.join(_answered(scored, model), "row", "left")
+    return out.select(
         "doc_id",
         (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         "n_tokens",
         whole("head_known", "tail_known", 0).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         whole("head_base", "tail_score", 0.0).alias("base_score"),
-        whole("head_score", "tail_score", 0.0).alias("score"),
+        (whole("head_score", "tail_score", 0.0) + F.coalesce("far_gain", F.lit(0.0))).alias("score"),
     )
