@@ -64,31 +64,32 @@ class Filter:
         self.bits = bits
 
     @staticmethod
-    def places(keys: np.ndarray) -> list[np.ndarray]:
+    def places(keys: np.ndarray, size: int) -> list[np.ndarray]:
         k = keys.view(np.uint64)
-        return [(k * np.uint64(m)) >> np.uint64(64 - FILTER_BITS) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+        return [(k * np.uint64(m)) >> np.uint64(64 - size) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
     @classmethod
     def of(cls, keys: DataFrame) -> Filter:
-        """Of one column of longs; built in tasks, of which a few partial filters reach the driver."""
+        """Of one column of longs, 2^FILTER_BITS bits at most; built in tasks, of which a few partial filters reach the driver."""
+        size = min(FILTER_BITS, max(16, (16 * keys.count()).bit_length()))
 
         def run(batches):  # noqa: ANN001, ANN202
             import pyarrow as pa
 
-            bits = np.zeros(1 << FILTER_BITS, bool)
+            bits = np.zeros(1 << size, bool)
             for batch in batches:
-                for at in cls.places(batch.column(0).to_numpy(zero_copy_only=False)):
+                for at in cls.places(batch.column(0).to_numpy(zero_copy_only=False), size):
                     bits[at] = True
             yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
-        out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+        out = np.zeros(1 << size >> 3, np.uint8)
         for row in keys.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator():
             out |= np.frombuffer(row[0], np.uint8)
         return cls(out)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
-        for at in self.places(keys):
+        for at in self.places(keys, len(self.bits).bit_length() + 2):
             out &= (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
         return out
 
@@ -200,9 +201,8 @@ def pair_counts(docs: DataFrame, shared, depth: int) -> DataFrame:  # noqa: ANN0
 
         def merged():  # noqa: ANN202
             rows = np.concatenate(held)
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-            first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
-            return pa.RecordBatch.from_arrays([pa.array(rows[first, 0]), pa.array(rows[first, 1]), pa.array(np.diff(np.r_[first, len(rows)]))], ["context", "next", "count"])
+            _, first, counts = np.unique(rows[:, 0] * POWER + rows[:, 1], return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(rows[first, 0]), pa.array(rows[first, 1]), pa.array(counts)], ["context", "next", "count"])
 
         for _, _, _, _, words, sizes in _sequences(batches, {}, hashes):
             *_, (context, ok) = _contexts(words, sizes, depth)
@@ -327,7 +327,7 @@ def cached(model: Model, hashes: np.ndarray) -> tuple[list[Level], Filter | None
     if far.isEmpty() and not len(outside):
         return levels, None
     rest = Filter.of(far)
-    for places in Filter.places(outside["context"].to_numpy(np.int64) * POWER + outside["next"].to_numpy(np.int64)):
+    for places in Filter.places(outside["context"].to_numpy(np.int64) * POWER + outside["next"].to_numpy(np.int64), len(rest.bits).bit_length() + 2):
         np.bitwise_or.at(rest.bits, places >> np.uint64(3), (128 >> (places & np.uint64(7))).astype(np.uint8))
     return levels, rest
 
