@@ -1,6 +1,7 @@
 """Secret scans with a random forest for false positives, in DataFrame functions only.
 
-Candidates are private-key blocks and runs of at least 16 letters, digits and _ + / = - that hold a letter and a digit. Each has features:
+Candidates are private-key blocks and runs of at least 16 letters, digits and _ + / - (with = behind them as padding) that hold a letter and a digit;
+a run begins behind NAME= or NAME:. Each has features:
 length, character classes and their transitions, common letter pairs, cover by dictionary words, distinct
 characters, path signs around it, and neighbouring words that speak for or against a secret. A random forest, trained in the JVM from
 labelled findings, gives the share of its trees' votes; its trees become CASE expressions, so scoring stays inside the scan's
@@ -20,9 +21,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN = "[A-Za-z0-9_+/=-]"
+RUN = "[A-Za-z0-9_+/-]"
+PADDING = "(?:={1,2}(?![A-Za-z0-9_+/=-]))?"
 KEY_BLOCK = "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
-CANDIDATE = f"{KEY_BLOCK}|(?<!{RUN})(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z]){RUN}{{16,}}+"
+CANDIDATE = f"{KEY_BLOCK}|(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z]){RUN}{{16,}}+{PADDING}"
 CONTEXT = 48
 ACCEPT = 0.5
 MASK = "[SECRET]"
@@ -102,11 +104,11 @@ class Forest:
 
     @classmethod
     def train(cls, findings: DataFrame, trees: int = 20, depth: int = 6, seed: int = 7) -> Forest:
-        """From labelled findings (value, before, behind, label); MLlib, in the JVM."""
+        """From labelled findings (value, before, behind, label), cut as a scan would; MLlib, in the JVM."""
         from pyspark.ml.classification import RandomForestClassifier
         from pyspark.ml.feature import VectorAssembler
 
-        rows = findings.select(*(c.cast("double").alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("before"), F.col("behind")), strict=True)), F.col("label").cast("double"))
+        rows = as_scanned(findings).select(*(c.cast("double").alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("before"), F.col("behind")), strict=True)), F.col("label").cast("double"))
         rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label").coalesce(1).cache()
         model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64).fit(rows)
         rows.unpersist()
@@ -129,19 +131,34 @@ class Forest:
         return reduce(lambda a, b: a + b, map(case, self.trees)) / float(len(self.trees))
 
 
-def findings(text: Column, forest: Forest) -> Column:
-    """array of (start, value, score) for a text; the scores come from the forest, 1.0 for key blocks."""
+def candidates(text: Column) -> Column:
+    """array of (start, value, before, behind) for a text; the words around a candidate may be those of its neighbours."""
     found, between = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
 
     def one(k: Column) -> Column:
-        value = F.element_at(found, k)
-        before, behind = F.right(F.element_at(between, k), F.lit(CONTEXT)), F.substring(F.element_at(between, k + 1), 1, CONTEXT)
+        last = F.when(k > 1, F.element_at(found, k - 1)).otherwise("")
+        following = F.when(k < F.size(found), F.element_at(found, k + 1)).otherwise("")
+        before = F.right(F.concat(last, F.element_at(between, k)), F.lit(CONTEXT))
+        behind = F.substring(F.concat(F.element_at(between, k + 1), following), 1, CONTEXT)
         start = F.aggregate(F.slice(between, 1, k), F.lit(0).cast("long"), lambda n, s: n + F.length(s)) + F.aggregate(F.slice(found, 1, k - 1), F.lit(0).cast("long"), lambda n, s: n + F.length(s))
-        return F.struct(start.alias("start"), value.alias("value"), F.array(*(c.cast("double") for c in features(value, before, behind))).alias("x"))
+        return F.struct(start.alias("start"), F.element_at(found, k).alias("value"), before.alias("before"), behind.alias("behind"))
+
+    return F.when(text.rlike(CANDIDATE), F.transform(F.sequence(F.lit(1), F.size(found)), one))
+
 
-    rows = F.transform(F.sequence(F.lit(1), F.size(found)), one)
+def as_scanned(labelled: DataFrame) -> DataFrame:
+    """Labelled findings as a scan cuts them: a candidate on the value has its label, one beside it (a name, say) is none."""
+    n = F.length("before")
+    rows = labelled.select("label", n.alias("from"), (n + F.length("value")).alias("to"), F.explode(candidates(F.concat("before", "value", "behind"))).alias("c"))
+    on = (F.col("c.start") < F.col("to")) & (F.col("c.start") + F.length("c.value") > F.col("from"))
+    return rows.select("c.value", "c.before", "c.behind", F.when(on, F.col("label")).otherwise(0).alias("label"))
+
+
+def findings(text: Column, forest: Forest) -> Column:
+    """array of (start, value, score) for a text; the scores come from the forest, 1.0 for key blocks."""
+    rows = F.transform(candidates(text), lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value"), F.array(*(x.cast("double") for x in features(c["value"], c["before"], c["behind"]))).alias("x")))
     score = lambda r: F.when(r["value"].startswith("-----BEGIN"), F.lit(1.0)).otherwise(forest.votes([r["x"][i] for i in range(len(FEATURES))]))
-    return F.when(text.rlike(CANDIDATE), F.transform(rows, lambda r: F.struct(r["start"].alias("start"), r["value"].alias("value"), score(r).alias("score"))))
+    return F.transform(rows, lambda r: F.struct(r["start"].alias("start"), r["value"].alias("value"), score(r).alias("score")))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:

@@ -1,0 +1,22 @@
+"""Secrets in the forms that the first candidates missed."""
+
+import hashlib
+
+import pytest
+
+from glyphmill.llm import secrets
+
+
+@pytest.fixture(scope="module")
+def masked(spark):
+    def run(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        return [r["text"] for r in secrets.redact(df).orderBy("doc_id").collect()]
+
+    return run
+
+
+def test_values_behind_names(masked):
+    h = [hashlib.md5(str(i).encode()).hexdigest() + hashlib.md5(str(-i).encode()).hexdigest()[:8] for i in range(6)]
+    forms = ["export AUTH_TOKEN={}", "client_secret={}", "API_KEY={}\n", "see https://a.example.org/x?access_token={} now", "AWS_SECRET_ACCESS_KEY={}", "S3_BUCKET_2_SECRET_KEY={}"]
+    assert masked([f.format(x) for f, x in zip(forms, h, strict=True)]) == [f.format("[SECRET]") for f in forms]
