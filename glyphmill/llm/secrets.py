@@ -1,7 +1,7 @@
 """Secret scans with a random forest for false positives, in DataFrame functions only.
 
 Candidates are private-key blocks and runs of at least 16 letters, digits and _ + / - (with = behind them as padding) that hold a letter and a digit;
-a run begins behind NAME= or NAME:. Each has features:
+a run begins behind NAME= or NAME:. Tokens that show their issuer need no digit, and a JSON web token is one candidate with its dots. Each has features:
 length, character classes and their transitions, common letter pairs, cover by dictionary words, distinct
 characters, path signs around it, and neighbouring words that speak for or against a secret. A random forest, trained in the JVM from
 labelled findings, gives the share of its trees' votes; its trees become CASE expressions, so scoring stays inside the scan's
@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 RUN = "[A-Za-z0-9_+/-]"
 PADDING = "(?:={1,2}(?![A-Za-z0-9_+/=-]))?"
 KEY_BLOCK = "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
-CANDIDATE = f"{KEY_BLOCK}|(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z]){RUN}{{16,}}+{PADDING}"
+#: Three dotted parts, the first one the JSON of a header in base64.
+JWT = "(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]{8,}+\\.[A-Za-z0-9_-]{8,}+\\.[A-Za-z0-9_-]{8,}+"
+#: How tokens of well-known issuers begin.
+ISSUED = "(?:gh[opsur]_|github_pat_|glpat-|AKIA|ASIA|[srp]k_(?:live|test)_|xox[abpr]-)"
+CANDIDATE = f"{KEY_BLOCK}|{JWT}|(?<!{RUN}){ISSUED}{RUN}{{14,}}+{PADDING}|(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z]){RUN}{{16,}}+{PADDING}"
 CONTEXT = 48
 ACCEPT = 0.5
 MASK = "[SECRET]"
@@ -33,7 +37,7 @@ DICTIONARY = ["able", "access", "account", "active", "address", "admin", "archiv
 PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea|ra|ce|li|ch|ll|be|ma|si|om|ur"
 SPEAKS_FOR = "(?i)token|secret|passw|pwd|api.?key|apikey|auth|bearer|credential|private|access.?key|client.?key|signing"
 SPEAKS_AGAINST = "(?i)commit|sha-?[0-9]|md5|checksum|hash|digest|uuid|guid|revision|etag|integrity|example|build.?id|trace|request.?id|cache.?key|version"
-FEATURES = ["size", "upper", "lower", "digits", "signs", "turns", "pairs", "words", "distinct", "hex", "path", "dotted", "assigned", "quoted", "speaks_for", "speaks_against", "repeats"]
+FEATURES = ["size", "upper", "lower", "digits", "signs", "turns", "pairs", "words", "distinct", "hex", "path", "dotted", "assigned", "quoted", "speaks_for", "speaks_against", "repeats", "issued"]
 
 
 def features(value: Column, before: Column, behind: Column) -> list[Column]:
@@ -60,24 +64,28 @@ def features(value: Column, before: Column, behind: Column) -> list[Column]:
         yes(F.right(before, F.lit(28)).rlike(SPEAKS_FOR)),
         yes(F.right(before, F.lit(28)).rlike(SPEAKS_AGAINST)),
         yes(value.rlike("(.)\\1{4}")),
+        yes(value.rlike(f"^{ISSUED}") | value.rlike(f"^{JWT}")),
     ]
 
 
 def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
-    """A fixed set of labelled findings (value, before, behind, label), made from MD5 digests of the row number."""
+    """A fixed set of labelled findings (value, before, behind, label, kind), made from MD5 digests of the row number."""
     n = F.col("id").cast("string")
     hexes = F.concat(F.md5(F.concat(n, F.lit("a"))), F.md5(F.concat(n, F.lit("b"))))
     base = F.regexp_replace(F.base64(F.unhex(hexes)), "[+/=]", "")
     pick = lambda salt, options: F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(options))) + 1).cast("int"))
     word = lambda salt: pick(salt, DICTIONARY)
     number = F.pmod(F.col("id") * 7919, F.lit(9973)).cast("string")
-    secret = pick("kind", ["hex40", "hex32", "hex64", "base", "ghp", "akia", "live", "upper"])
-    values = {"hex40": F.substring(hexes, 1, 40), "hex32": F.substring(hexes, 1, 32), "hex64": hexes, "base": F.substring(base, 1, 32), "ghp": F.concat(F.lit("ghp_"), F.substring(base, 1, 36)), "akia": F.concat(F.lit("AKIA"), F.upper(F.substring(base, 1, 16))), "live": F.concat(F.lit("sk_live_"), F.substring(base, 1, 24)), "upper": F.upper(F.substring(hexes, 1, 40))}
+    secret = pick("kind", ["hex40", "hex32", "hex64", "base", "ghp", "akia", "live", "upper", "jwt"])
+    values = {"hex40": F.substring(hexes, 1, 40), "hex32": F.substring(hexes, 1, 32), "hex64": hexes, "base": F.substring(base, 1, 32), "ghp": F.concat(F.lit("ghp_"), F.substring(base, 1, 36)), "akia": F.concat(F.lit("AKIA"), F.upper(F.substring(base, 1, 16))), "live": F.concat(F.lit("sk_live_"), F.substring(base, 1, 24)), "upper": F.upper(F.substring(hexes, 1, 40)), "jwt": F.concat(F.lit("eyJhbGciOiJIUzI1NiJ9.eyJ"), F.substring(base, 1, 20), F.lit("."), F.reverse(base))}
     chosen = F.coalesce(*[F.when(secret == k, v) for k, v in values.items()])
     before = pick("before", ['token = "', 'secret: "', 'api_key="', "Authorization: Bearer ", 'password = "', "export AUTH_TOKEN=", "access_key: ", "client_secret=", 'TOKEN = "', "private key ", "x-api-key: ", "auth token "])
+    # Tokens that show their issuer stand alone in half of their rows.
+    alone = secret.isin("ghp", "akia", "live", "jwt") & (F.pmod(F.xxhash64(F.lit("alone"), "id"), F.lit(2)) == 0)
+    before_real = F.when(alone, pick("bare", ["see ", "the ", "in ", "= ", ": ", '"', "from ", "", "(", "- "])).otherwise(before)
     behind = F.when(F.substring(before, -1, 1) == '"', F.lit('" ')).otherwise(F.lit(" "))
     lead = F.concat(word("w1"), F.lit(" "), word("w2"), F.lit(" "))
-    real = F.struct(chosen.alias("value"), F.concat(lead, before).alias("before"), F.concat(behind, word("w3")).alias("behind"), F.lit(1).alias("label"))
+    real = F.struct(chosen.alias("value"), F.concat(lead, before_real).alias("before"), F.concat(behind, word("w3")).alias("behind"), F.lit(1).alias("label"), F.concat(secret, F.when(alone, " alone").otherwise("")).alias("kind"))
     look = pick("look", ["digest", "slug", "name", "path", "uuid", "filler", "host", "plain", "glued"])
     digest = F.substring(hexes, F.lit(1), pick("hexlen", [40, 32, 64]))
     fake_value = (
@@ -92,7 +100,7 @@ def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         .otherwise(F.concat(word("w4"), word("w5"), word("w6"), word("w7"), F.substring(number, 1, 1)))
     )
     fake_before = F.when(look == "digest", pick("against", ["commit ", "sha256: ", "md5 = ", "checksum: ", 'digest "', "revision ", "etag: ", "integrity sha1-", "hash "])).when(look == "filler", before).when(look == "host", pick("at", ["www.", "user@", "mail."])).otherwise(pick("plain", ["see ", "the ", "in ", "= ", ": ", '"', "from ", "token "]))
-    fake = F.struct(fake_value.alias("value"), F.concat(lead, fake_before).alias("before"), F.concat(F.when(look == "host", F.lit(".com")).otherwise(F.lit(" ")), word("w3")).alias("behind"), F.lit(0).alias("label"))
+    fake = F.struct(fake_value.alias("value"), F.concat(lead, fake_before).alias("before"), F.concat(F.when(look == "host", F.lit(".com")).otherwise(F.lit(" ")), word("w3")).alias("behind"), F.lit(0).alias("label"), look.alias("kind"))
     return spark.range(rows).select(F.when(F.col("id") % 2 == 0, real).otherwise(fake).alias("f")).select("f.*")
 
 
@@ -161,6 +169,16 @@ def findings(text: Column, forest: Forest) -> Column:
     return F.transform(rows, lambda r: F.struct(r["start"].alias("start"), r["value"].alias("value"), score(r).alias("score")))
 
 
+def recall_by_kind(spark: SparkSession, rows: int = 6000) -> dict[str, float]:
+    """Share of held-out findings judged a secret, for each kind of credential and look-alike: a third by the value's hash is held out."""
+    labelled = labelled_findings(spark, rows)
+    held = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)) == 1
+    forest = Forest.train(labelled.where(~held))
+    found = labelled.where(held).select("kind", F.length("before").alias("from"), "value", findings(F.concat("before", "value", "behind"), forest).alias("f"))
+    hit = F.exists("f", lambda f: (f["start"] == F.col("from")) & (f["value"] == F.col("value")) & (f["score"] >= ACCEPT))
+    return {r[0]: r[1] for r in found.groupBy("kind").agg(F.avg(F.coalesce(hit, F.lit(False)).cast("int"))).collect()}
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """One row per candidate: doc_id, start, length, value_sha256, score, is_secret. Narrow, no shuffle."""
     forest = Forest.train(labelled if labelled is not None else labelled_findings(docs.sparkSession))
