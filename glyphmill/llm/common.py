@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,26 +45,42 @@ def lower_bytes(data: bytes) -> bytes:
     return data.translate(_FOLD_CASE)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage through the shared folder of spark.checkpoint.dir; only where that is unset (tests) a folder is chosen here."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which the driver and all executors share. It must be set: a local folder would lose data on a cluster."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and the executors share")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
 
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glyphmill-ck-"))
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """checkpointed() as a compressed table in the same shared folder, for rows with long texts."""
-    import uuid
-
-    checkpointed(df.sparkSession.range(0))  # sets the folder where it is unset
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    """checkpointed() as a compressed table in the shared folder, for large rows and for tables that are read more than once."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file of the shared folder that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files and checkpoints of frames that are gone; it waits for the driver's garbage collector."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def byte_groups(texts: list[str | None], limit: int) -> Iterator[range]:
     """Runs of neighbouring rows that hold about `limit` characters each (a longer text is a run of its own)."""
     start = size = 0

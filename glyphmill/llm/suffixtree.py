@@ -7,54 +7,46 @@ log ratio of both estimates is at least ln N, and a context if the sum over its
 Contexts grow by a word as long as any state of the last length was kept. Next-symbol distributions are smoothed by absolute discounting:
 P(w|s) = (c(s, w) - D) / c(s) for kept pairs, plus what is left over times P(w | suffix of s). A text is scored with the longest suffix state at each place.
 
-Words and contexts are keyed by 64-bit hashes, and contexts, pairs and states are tables joined by key. Two caches are broadcast and decide nothing but speed:
-the HEAD_WORDS most frequent words, and the states of the most frequent contexts with at most CACHED_PAIRS pairs. A place that a cache can't settle asks
-the tables in a join; a Bloom filter of the other states spares the places that have none. The counts of words outside the head come from a join on
-the words themselves.
+Texts are read once: neighbouring rows become a group of a few million words, stored as the group's distinct words (64-bit hashes) and a code for each
+place. Everything later works on groups. Word counts, contexts, states and pairs are tables keyed by 64-bit hashes, so nothing of the tree is bounded or
+dropped at any size. To score, each group asks a joined table for the distinct keys that it holds. Two broadcast things decide nothing but speed: the
+CACHE keys that occur most often with their values, and a Bloom filter of all keys, which spares questions about what the tree doesn't have.
 
 Defined results: a null or empty text is the end symbol alone; with no training rows N is 0 and every word has probability 1; a null id counts
-as training (its fold is 0); repeated rows are scored each; extra columns are ignored.
+as training (its fold is 0); repeated rows are scored each; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from hashlib import blake2b
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, byte_groups, checkpointed, fold, lower_bytes, stored
+from .common import bound_batches, fold, release, remove, stored
 
 FOLDS, HELD_OUT = 5, 1
-HEAD_WORDS = 200_000
-CACHED_PAIRS = 400_000
+CACHE = 200_000
 LEAST_CONTEXT = 8
-FILTER_BITS = 27
+FILTER_BITS = 28
 DISCOUNT = 0.75
 GROUP_CHARS = 4_000_000
-END = b""  # no word is empty
-
-
-def symbols(text: str | None) -> list[bytes]:
-    out = lower_bytes((text or "").encode()).split()
-    out.append(END)
-    return out
-
+PART_PLACES = 2_000_000
+#: A context's hash is the polynomial of its words' hashes with this base modulo 2^64; the last word has power 0.
+POWER = np.int64(-7046029254386353131)
+#: Keys of words and of pairs in the joined table; a state's key is its context's hash.
+WORD, PAIR = np.int64(0x5851F42D4C957F2D), np.int64(0x14057B7EF767814F)
 
-class Hashes(dict):
-    """64-bit hashes of words, kept for the most recent ones."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        out = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return out
+def word_hash(word: bytes) -> int:
+    """A signed 64-bit hash; the end symbol is the empty word, which no text has."""
+    out = xxhash.xxh3_64_intdigest(word)
+    return out - (1 << 64) if out >> 63 else out
 
 
-#: A context's hash is the polynomial of its words' hashes with this base modulo 2^64; the last word has power 0.
-POWER = np.int64(-7046029254386353131)
+END = word_hash(b"")
 
 
 class Filter:
@@ -64,23 +56,23 @@ class Filter:
         self.bits = bits
 
     @staticmethod
-    def places(keys: np.ndarray, size: int) -> list[np.ndarray]:
-        k = keys.view(np.uint64)
-        return [(k * np.uint64(m)) >> np.uint64(64 - size) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+    def places(keys: np.ndarray, size: int, *which: int) -> list[np.ndarray]:
+        factors = (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+        return [keys.view(np.uint64) * np.uint64(factors[m]) >> np.uint64(64 - size) for m in which or range(3)]
 
     @classmethod
-    def of(cls, keys: DataFrame) -> Filter:
-        """Of one column of longs, 2^FILTER_BITS bits at most; built in tasks, of which a few partial filters reach the driver."""
-        size = min(FILTER_BITS, max(16, (16 * keys.count()).bit_length()))
+    def of(cls, keys: DataFrame, n: int) -> Filter:
+        """Of one column of n longs, 2^FILTER_BITS bits at most; built in tasks, of which a few partial filters reach the driver one by one."""
+        size = min(FILTER_BITS, max(16, (8 * n).bit_length()))
 
         def run(batches):  # noqa: ANN001, ANN202
             import pyarrow as pa
 
-            bits = np.zeros(1 << size, bool)
+            bits = np.zeros(1 << size >> 3, np.uint8)
             for batch in batches:
                 for at in cls.places(batch.column(0).to_numpy(zero_copy_only=False), size):
-                    bits[at] = True
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+                    np.bitwise_or.at(bits, at >> np.uint64(3), (128 >> (at & np.uint64(7))).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], ["bits"])
 
         out = np.zeros(1 << size >> 3, np.uint8)
         for row in keys.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator():
@@ -88,136 +80,214 @@ class Filter:
         return cls(out)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for at in self.places(keys, len(self.bits).bit_length() + 2):
-            out &= (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+        """The second and third bit are only looked up where the ones before are set."""
+        size = len(self.bits).bit_length() + 2
+        out = np.zeros(len(keys), bool)
+        alive, left = np.arange(len(keys)), keys
+        for m in range(3):
+            at = self.places(left, size, m)[0]
+            ok = (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+            alive, left = alive[ok], left[ok]
+        out[alive] = True
         return out
 
 
-def training(docs: DataFrame) -> DataFrame:
-    return docs.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+class Values:
+    """Distinct keys with their values, in an open hash table of four slots a key or more."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        size = max(2, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - size), np.uint64((1 << size) - 1)
+        self.keys, self.values = np.zeros(1 << size, np.int64), np.full(1 << size, np.nan)
+        at, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = np.isnan(self.values[at[left]])
+            put = left[free]
+            self.keys[at[put]], self.values[at[put]] = keys[put], values[put]
+            left = np.concatenate([left[~free], put[self.keys[at[put]] != keys[put]]])
+            at[left] = at[left] + np.uint64(1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """NaN where a key is missing."""
+        at = self._slots(keys)
+        out = self.values[at]
+        left = np.flatnonzero((self.keys[at] != keys) & ~np.isnan(out))
+        at = at[left]
+        while len(left):
+            at = at + np.uint64(1) & self.mask
+            out[left] = self.values[at]
+            other = (self.keys[at] != keys[left]) & ~np.isnan(out[left])
+            left, at = left[other], at[other]
+        return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, hash, count) over all training rows; counted inside tasks first."""
+class Group:
+    """Some neighbouring texts: hash of each place's word, the place in its text, and the texts' ids, folds and lengths (with the end symbol)."""
+
+    def __init__(self, row: dict) -> None:
+        self.number, self.ids = row["group"], row["ids"]
+        self.train = np.frombuffer(row["train"], bool)
+        self.sizes = np.frombuffer(row["sizes"], "<i8")
+        self.words = np.frombuffer(row["words"], "<i8")
+        self.codes = np.frombuffer(row["low"], "<u2") | np.frombuffer(row["high"], "<u2").astype(np.uint32) << np.uint32(16)
+        self.hashes = self.words[self.codes]
+        self.place = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+
+    def contexts(self, most: int):  # noqa: ANN201
+        """For each length up to `most`: the hash of the words before each place (where its text has that many)."""
+        out, power = np.zeros(len(self.hashes), np.int64), np.ones(1, np.int64)
+        for depth in range(1, most + 1):
+            out[depth:] += self.hashes[:-depth] * power
+            power = power * POWER
+            yield out
+
+
+GROUP_SCHEMA = "group long, ids array<long>, train binary, sizes binary, words binary, low binary, high binary"
+
+
+def _pack(number: int, parts: list):  # noqa: ANN202
+    """One row of GROUP_SCHEMA from Arrow batches of doc_id, text, train."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    table = pa.Table.from_batches(parts).combine_chunks()
+    texts = pc.ascii_lower(pc.fill_null(table["text"].combine_chunks(), ""))
+    lists = pc.ascii_split_whitespace(texts)  # at exactly space and U+0009 to U+000D
+    offsets = lists.offsets.to_numpy()
+    flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    real = pc.not_equal(flat, "")  # white space at a text's ends leaves empty strings
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    sizes = np.diff(before[offsets - offsets[0]]).astype("<i8")
+    coded = flat.filter(real).dictionary_encode()
+    words = [*map(word_hash, coded.dictionary.cast(pa.binary()).to_pylist()), END]
+    codes = np.full(len(coded) + len(sizes), len(words) - 1, np.uint32)
+    inner = np.ones(len(codes), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    codes[inner] = coded.indices.to_numpy(zero_copy_only=False)
+    blob = lambda a: pa.array([a.tobytes()], pa.binary())
+    ids = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), table["doc_id"].combine_chunks())
+    train = table["train"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+    values = [pa.array([number], pa.int64()), ids, blob(train), blob(sizes + 1), blob(np.array(words, "<i8")), blob(codes.astype("<u2")), blob((codes >> np.uint32(16)).astype("<u2"))]
+    return pa.RecordBatch.from_arrays(values, ["group", "ids", "train", "sizes", "words", "low", "high"])
+
+
+def groups_of(docs: DataFrame) -> DataFrame:
+    """The texts as groups, stored. Two byte planes of the codes compress better than one; codes have 32 bits."""
+    bound_batches(docs.sparkSession, "8m")
 
     def run(batches):  # noqa: ANN001, ANN202
-        from collections import Counter
-
-        import pyarrow as pa
+        from pyspark import TaskContext
 
-        counts: Counter[bytes] = Counter()
-        hashes = Hashes()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array([hashes[w] for w in counts], pa.int64()), pa.array(counts.values(), pa.int64())], ["word", "hash", "count"])
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            texts = batch.column("text")
-            for k in range(batch.num_rows):
-                counts.update(symbols(texts[k].as_py()))
-                if len(counts) > 600_000:
-                    yield flush()
-                    counts.clear()
-        yield flush()
-
-    return training(docs).select("text").mapInArrow(run, "word binary, hash long, count long").groupBy("word", "hash").agg(F.sum("count").alias("count"))
-
-
-def _threshold(rows: DataFrame, column: str, most: int, weight: str | None = None) -> int:
-    """The least value t such that the rows with column >= t number (or weigh) at most `most`; values above 4096 only count by powers of two."""
-    value = F.floor(F.col(column)).cast("long")
-    step = F.when(value < 4096, value).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.col(column)))).cast("long"))
-    steps = sorted(((r[0], r[1]) for r in rows.groupBy(step).agg(F.sum(weight) if weight else F.count(F.lit(1))).collect()), reverse=True)
-    total, out = 0, 1 << 62
-    for value, n in steps:
-        total += n
-        if total > most:
-            break
-        out = value
-    return out
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= GROUP_CHARS:
+                yield _pack(number, held)
+                number, held, size = number + 1, [], 0
+        if sum(b.num_rows for b in held):
+            yield _pack(number, held)
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), FOLDS) != HELD_OUT).alias("train"))
+    return stored(rows.mapInArrow(run, GROUP_SCHEMA))
 
-class Head:
-    """The broadcast part of the vocabulary: ids by falling count, and root probabilities."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, tokens: int, distinct: int) -> None:
-        order = np.argsort(-counts, kind="stable")
-        self.words, self.counts, self.tokens, self.distinct = [words[i] for i in order], counts[order], tokens, distinct
-        self.total = tokens + 0.5 * (distinct + 1)
+def _each(batches):  # noqa: ANN001, ANN202
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Group({n: batch.column(n)[k].values if n == "ids" else batch.column(n)[k].as_py() for n in ("group", "ids", "train", "sizes", "words", "low", "high")})
 
-    def root(self) -> np.ndarray:
-        return (self.counts + 0.5) / self.total
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The hash class of each key."""
+    out = (keys.view(np.uint64) * np.uint64(0xA0761D6478BD642F) >> np.uint64(33)) % np.uint64(parts)
+    return out.astype(np.uint16 if parts <= 1 << 16 else np.uint32)
 
-def _id_table(shared) -> dict[bytes, int]:  # noqa: ANN001
-    head = shared.value["head"]
-    if not hasattr(head, "_table"):
-        head._table = {w: i for i, w in enumerate(head.words)}
-    return head._table
 
+def _dealt(part: np.ndarray, parts: int, *columns: np.ndarray):  # noqa: ANN202
+    """(part, block of its rows' columns) for each part that has rows."""
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    for k in np.flatnonzero(np.diff(ends)):
+        at = order[ends[k] : ends[k + 1]]
+        yield int(k), b"".join(c[at].tobytes() for c in columns)
 
-def _sequences(batches, table: dict[bytes, int], hashes: Hashes):  # noqa: ANN001, ANN202
-    """Groups of texts as (batch, row numbers in it, texts, ids with -1 for the tail, word hashes, lengths)."""
-    get, of = table.get, hashes.__getitem__
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for group in byte_groups(texts, GROUP_CHARS):
-            all_words: list[bytes] = []
-            sizes: list[int] = []
-            for i in group:
-                w = symbols(texts[i])
-                all_words += w
-                sizes.append(len(w))
-            ids = np.array([get(x, -1) for x in all_words], np.int64) if table else np.full(len(all_words), -1, np.int64)
-            yield batch, group, texts, ids, np.array([of(x) for x in all_words], np.int64), np.array(sizes, np.int64)
-
-
-def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of keys in a sorted table, or -1."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
-
-
-def _contexts(words: np.ndarray, sizes: np.ndarray, most: int):  # noqa: ANN202
-    """For each length up to `most`: the hash of the words before each place and whether there are that many in its text."""
-    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out, power = np.zeros(len(words), np.int64), np.ones(1, np.int64)
-    for depth in range(1, most + 1):
-        out = out.copy()
-        out[depth:] += words[:-depth] * power
-        power = power * POWER
-        yield out, place >= depth
-
-
-def pair_counts(docs: DataFrame, shared, depth: int) -> DataFrame:  # noqa: ANN001
-    """(context, next, count) by hashes for the contexts of one length that the filter (if any) knows."""
 
-    def run(batches):  # noqa: ANN001, ANN202
+def _undealt(blocks: list[bytes], *types: str) -> list[np.ndarray]:
+    """The columns of several blocks."""
+    width = sum(np.dtype(t).itemsize for t in types)
+    out: list[list[np.ndarray]] = [[] for _ in types]
+    for block in blocks:
+        n, at = len(block) // width, 0
+        for column, t in zip(out, types, strict=True):
+            column.append(np.frombuffer(block, t, n, at))
+            at += n * np.dtype(t).itemsize
+    return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, types, strict=True)]
+
+
+def _counted(groups: DataFrame, pairs_of, least: int, parts: int) -> DataFrame:  # noqa: ANN001
+    """(a, b, count) for those of the pairs whose counts by pairs_of(group) sum to at least `least`.
+
+    A group sends one block for each of `parts` hash classes that it has; rows of their own would cost the JVM far more. `parts` follows
+    the number of words, so what meets in one place is bounded; a frequent context's pairs lie in all classes.
+    """
+
+    def deal(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
-        only, hashes = shared.value["filter"], Hashes()
-        held: list[np.ndarray] = []
-        size = 0
+        for g in _each(batches):
+            a, b, n = pairs_of(g)
+            rows = list(zip(*_dealt(part_of(a * POWER + b, parts), parts, a, b, n.astype("<u4")), strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary())], ["part", "block"])
+
+    def add(rows):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        a, b, n = _undealt(rows["block"].to_pylist(), "<i8", "<i8", "<u4")
+        key = a * POWER + b
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sums = np.add.reduceat(n[order].astype(np.int64), first)
+        ok = sums >= least
+        at = order[first[ok]]
+        return pa.table({"a": a[at], "b": b[at], "count": sums[ok]})
+
+    return groups.mapInArrow(deal, "part long, block binary").groupBy("part").applyInArrow(add, "a long, b long, count long")
 
-        def merged():  # noqa: ANN202
-            rows = np.concatenate(held)
-            _, first, counts = np.unique(rows[:, 0] * POWER + rows[:, 1], return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(rows[first, 0]), pa.array(rows[first, 1]), pa.array(counts)], ["context", "next", "count"])
 
-        for _, _, _, _, words, sizes in _sequences(batches, {}, hashes):
-            *_, (context, ok) = _contexts(words, sizes, depth)
+def word_counts(groups: DataFrame, parts: int) -> DataFrame:
+    """(word, count) over all training rows, by hashes."""
+
+    def words(g: Group):  # noqa: ANN202
+        n = np.bincount(g.codes[np.repeat(g.train, g.sizes)], minlength=len(g.words))
+        return np.zeros(np.count_nonzero(n), np.int64), g.words[n > 0], n[n > 0]
+
+    return _counted(groups, words, 1, parts).select(F.col("b").alias("word"), "count")
+
+
+def pair_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame:  # noqa: ANN001
+    """(context, next, count) by hashes, for pairs that occur twice, of contexts of one length and next words that the filters have."""
+
+    def pairs(g: Group):  # noqa: ANN202
+        contexts, twice = shared.value["contexts"], shared.value["twice"].has(g.words)
+        ok = (g.place >= depth) & twice[g.codes] & np.repeat(g.train, g.sizes)
+        if depth == 1:  # a context is a word of the group
+            at = np.flatnonzero(ok[1:] & contexts.has(g.words)[g.codes[:-1]])
+            before = g.codes[at].astype(np.int64)
+        else:
+            *_, context = g.contexts(depth)
             at = np.flatnonzero(ok)
-            if only is not None:
-                at = at[only.has(context[at])]
-            held.append(np.column_stack([context[at], words[at]]))
-            size += len(at)
-            if size > 4_000_000:
-                yield merged()
-                held, size = [], 0
-        if size:
-            yield merged()
+            at = at[contexts.has(context[at])]
+            names, before = np.unique(context[at], return_inverse=True)
+            at -= 1
+        pair, n = np.unique(before << 32 | g.codes[at + 1], return_counts=True)
+        return (g.words if depth == 1 else names)[pair >> 32], g.words[pair & 0xFFFFFFFF], n
 
-    return training(docs).select("text").mapInArrow(run, "context long, next long, count long").groupBy("context", "next").agg(F.sum("count").alias("count"))
+    return _counted(groups, pairs, 2, parts).toDF("context", "next", "count")
 
 
 def _longer(pairs: DataFrame) -> DataFrame:
@@ -230,205 +300,196 @@ def _longer(pairs: DataFrame) -> DataFrame:
             context, suffix, nxt, count = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("context", "suffix", "next", "count"))
             yield pa.RecordBatch.from_arrays([pa.array(context * POWER + nxt), pa.array(suffix * POWER + nxt), pa.array(count)], ["context", "suffix", "total"])
 
-    rows = pairs.where((F.col("count") >= LEAST_CONTEXT) & (F.col("next") != Hashes()[END]))
+    rows = pairs.where((F.col("count") >= LEAST_CONTEXT) & (F.col("next") != END))
     return rows.select("context", "suffix", "next", "count").mapInArrow(run, "context long, suffix long, total long")
 
 
-class Level:
-    """Cached states of one length: sorted contexts, the weight left for the suffix, and sorted (state, next) pairs with their discounted shares."""
-
-    def __init__(self, contexts: np.ndarray, left: np.ndarray, keys: np.ndarray, shares: np.ndarray) -> None:
-        self.contexts, self.left, self.keys, self.shares = contexts, left, keys, shares
-
-
-def _known_places(ids: np.ndarray, sizes: np.ndarray, levels: list[Level], words: np.ndarray):  # noqa: ANN202
-    """For each length: the context's hash, whether the text has that many words before, the cached state or -1, and its discounted share of the symbol (0 for the tail)."""
-    for level, (context, ok) in zip(levels, _contexts(words, sizes, len(levels)), strict=True):
-        state = np.where(ok, _find(level.contexts, context), -1)
-        found = np.where((state >= 0) & (ids >= 0), _find(level.keys, np.maximum(state, 0) << 32 | np.maximum(ids, 0)), -1)
-        share = np.where(found >= 0, level.shares[np.maximum(found, 0)] if len(level.shares) else 0.0, 0.0)
-        yield context, ok, state, share
-
-
-def _probabilities(ids: np.ndarray, sizes: np.ndarray, root: np.ndarray, levels: list[Level], words: np.ndarray | None = None) -> np.ndarray:
-    """P of each symbol by the cached states; for the tail, the weight that is left for the root's probability. Contexts are made of `words`, or the ids."""
-    p = np.where(ids >= 0, root[np.maximum(ids, 0)] if len(root) else 1.0, 1.0)
-    for level, (_, _, state, share) in zip(levels, _known_places(ids, sizes, levels, ids if words is None else words), strict=True):
-        at = np.flatnonzero(state >= 0)
-        p[at] = share[at] + level.left[state[at]] * p[at]
-    return p
+def _pair_keys(pairs: DataFrame) -> DataFrame:
+    """(key, value, weight) of kept pairs (context, next, share, count)."""
 
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
 
-class Model:
-    """The tree as tables: states (context, depth, left, total, n_pairs) and kept pairs (context, next, share, lift), where lift is share / root."""
+        for batch in batches:
+            context, nxt = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("context", "next"))
+            yield pa.RecordBatch.from_arrays([pa.array(context * POWER + nxt ^ PAIR), batch.column("share"), batch.column("count")], ["key", "value", "weight"])
 
-    def __init__(self, states: DataFrame, pairs: DataFrame, depth: int) -> None:
-        self.states, self.pairs, self.depth = states, pairs, depth
+    return pairs.select("context", "next", "share", "count").mapInArrow(run, "key long, value double, weight long")
 
 
-def grow(docs: DataFrame, counts: DataFrame, tokens: int, total: float) -> Model | None:
-    """All states of all lengths, until none of a length is kept."""
-    spark = docs.sparkSession
+def grow(groups: DataFrame, counts: DataFrame, tokens: int, total: float, parts: int) -> tuple[list[DataFrame], int]:
+    """Tables (key, value, weight) of all states (what is left for the suffix) and kept pairs (discounted shares), until none of a length is kept; and the greatest length."""
+    spark = groups.sparkSession
     cost = math.log(max(tokens, 3))
-    contexts = counts.where((F.col("count") >= LEAST_CONTEXT) & (F.col("word") != F.lit(END))).select(F.col("hash").alias("context"), F.lit(0).cast("long").alias("suffix"), F.col("count").alias("total"))
-    root = counts.select(F.col("hash").alias("next"), ((F.col("count") + 0.5) / total).alias("root")).withColumn("below", F.col("root"))
-    states: list[DataFrame] = []
-    kept: list[DataFrame] = []
-    depth, only = 1, None
-    while not contexts.isEmpty():
-        shared = spark.sparkContext.broadcast({"filter": only})
-        found = pair_counts(docs, shared, depth).where(F.col("count") > 1).join(contexts, "context")
+    contexts = counts.where((F.col("count") >= LEAST_CONTEXT) & (F.col("word") != END)).select(F.col("word").alias("context"), F.lit(0).cast("long").alias("suffix"), F.col("count").alias("total"))
+    often = counts.where("count > 1").select(F.col("word").alias("next"), ((F.col("count") + 0.5) / total).alias("below"))
+    twice = Filter.of(often.select("next"), often.count())
+    below, on = often, ["next"]
+    tables: list[DataFrame] = []
+    depth = 0
+    while n := contexts.count():
+        shared = spark.sparkContext.broadcast({"contexts": Filter.of(contexts.select("context"), n), "twice": twice})
+        found = pair_counts(groups, shared, depth + 1, parts)
         # Pairs behind a suffix that is no state have no `below`: they only lead to longer contexts.
-        pairs = stored(found.join(root, "next") if depth == 1 else found.join(root, ["suffix", "next"], "left"))
-        shared.unpersist()
+        pairs = stored(found.join(below, on, "left").join(contexts, "context") if depth == 0 else found.join(contexts, "context").join(below, on, "left"))
+        shared.destroy()
         share = (F.col("count") - DISCOUNT) / F.col("total")
-        telling = pairs.withColumn("share", share).withColumn("gain", F.col("count") * F.log(F.col("share") / F.col("below"))).where(F.col("gain") >= cost)
-        state = telling.groupBy("context").agg(F.sum("share").alias("shares"), F.sum("count").alias("counts"), F.sum("below").alias("belows"), F.sum("gain").alias("gains"), F.first("total").alias("total"), F.count(F.lit(1)).alias("n_pairs"))
+        gain = F.col("count") * F.log(share / F.col("below"))
+        telling = pairs.withColumn("share", share).withColumn("gain", gain).where(F.col("gain") >= cost)
+        state = telling.groupBy("context").agg(F.sum("share").alias("shares"), F.sum("count").alias("counts"), F.sum("below").alias("belows"), F.sum("gain").alias("gains"), F.first("total").alias("total"))
         left = F.greatest(1.0 - F.col("shares"), F.lit(0.0))
         rest = (F.col("total") - F.col("counts")) * F.log(F.greatest(left, F.lit(1e-12)) / F.greatest(1.0 - F.col("belows"), F.lit(1e-12)))
-        state = stored(state.where(F.col("gains") + rest >= cost).select("context", F.lit(depth).alias("depth"), left.alias("left"), "total", "n_pairs"))
+        state = stored(state.where(F.col("gains") + rest >= cost).select("context", left.alias("left"), "total"))
         if state.isEmpty():
             break
-        mine = state.select("context", "left")
-        states.append(state)
-        kept.append(telling.join(mine, "context", "left_semi").select("context", "next", "share", (F.col("share") / F.col("root")).alias("lift")))
-        p = F.when(F.col("count") * F.log(share / F.col("below")) >= cost, share).otherwise(0.0) + F.col("left") * F.col("below")
-        root = pairs.join(mine, "context").select(F.col("context").alias("suffix"), "next", "root", p.alias("below"))
+        depth += 1
+        tables.append(state.select(F.col("context").alias("key"), F.col("left").alias("value"), F.col("total").alias("weight")))
+        tables.append(_pair_keys(telling.join(state.select("context"), "context", "left_semi")))
+        p = F.when(gain >= cost, share).otherwise(0.0) + F.col("left") * F.col("below")
+        below, on = pairs.join(state.select("context", "left"), "context").select(F.col("context").alias("suffix"), "next", p.alias("below")), ["suffix", "next"]
         contexts = stored(_longer(pairs))
-        if contexts.join(mine.select(F.col("context").alias("suffix")), "suffix", "left_semi").isEmpty():
-            break
-        only, depth = Filter.of(contexts.select("context")), depth + 1
-    if not states:
-        return None
-    both = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(both(parts[1:]))
-    return Model(both(states), stored(both(kept)), len(states))
-
-
-def cached(model: Model, hashes: np.ndarray) -> tuple[list[Level], Filter | None]:
-    """The states of the most frequent contexts, and a filter of the other states and of these states' pairs with words outside the head."""
-    cut = _threshold(model.states, "total", CACHED_PAIRS, "n_pairs")
-    near = model.states.where(F.col("total") >= cut)
-    pairs = model.pairs.join(near.select("context"), "context", "left_semi").select("context", "next", "share").toPandas()
-    rows = near.select("context", "depth", "left").toPandas()
-    order = np.argsort(hashes)
-    at = _find(hashes[order], pairs["next"].to_numpy(np.int64))
-    head = at >= 0
-    levels = []
-    for depth in range(1, model.depth + 1):
-        mine = rows[rows["depth"] == depth].sort_values("context")
-        contexts = mine["context"].to_numpy(np.int64)
-        state = _find(contexts, pairs["context"].to_numpy(np.int64))
-        ok = (state >= 0) & head
-        keys = state[ok] << 32 | order[at[ok]]
-        by = np.argsort(keys)
-        levels.append(Level(contexts, mine["left"].to_numpy(float), keys[by], pairs["share"].to_numpy(float)[ok][by]))
-    far = model.states.where(F.col("total") < cut).select("context")
-    outside = pairs[~head]
-    if far.isEmpty() and not len(outside):
-        return levels, None
-    rest = Filter.of(far)
-    for places in Filter.places(outside["context"].to_numpy(np.int64) * POWER + outside["next"].to_numpy(np.int64), len(rest.bits).bit_length() + 2):
-        np.bitwise_or.at(rest.bits, places >> np.uint64(3), (128 >> (places & np.uint64(7))).astype(np.uint8))
-    return levels, rest
-
-
-def _asked(ids: np.ndarray, sizes: np.ndarray, words: np.ndarray, root: np.ndarray, levels: list[Level], far: Filter | None):  # noqa: ANN202
-    """(places that the caches can't settle, questions about them): a question is a place's state of one length; what the caches know of it is given, the rest NaN."""
-    remote = np.zeros(len(ids), bool)
-    if far is None:
-        return remote, []
-    seen = []
-    for context, ok, state, share in _known_places(ids, sizes, levels, words):
-        other = np.zeros(len(ids), bool)
-        at = np.flatnonzero(ok & (state < 0))
-        other[at] = far.has(context[at])
-        at = np.flatnonzero((state >= 0) & (ids < 0))
-        tail = np.zeros(len(ids), bool)
-        tail[at] = far.has(context[at] * POWER + words[at])
-        remote |= other | tail
-        seen.append((context, state, share, other, tail))
-    asked = []
-    for depth, (level, (context, state, share, other, tail)) in enumerate(zip(levels, seen, strict=True), 1):
-        at = np.flatnonzero(remote & ((state >= 0) | other))
-        left = np.where(state[at] >= 0, level.left[np.maximum(state[at], 0)] if len(level.left) else np.nan, np.nan)
-        base = root[np.maximum(ids[at], 0)] if len(root) else np.ones(len(at))
-        lift = np.where(other[at] | tail[at], np.nan, share[at] / base)
-        asked.append((at, np.full(len(at), depth), context[at], words[at], left, lift))
-    return remote, [np.concatenate(x) for x in zip(*asked, strict=True)]
-
-
-def _answered(scored: DataFrame, model: Model) -> DataFrame:
-    """(row, far_gain): the log10 of P / P(root) over the places of a row that the caches couldn't settle."""
-    asked = scored.select("row", F.explode("asked").alias("a")).select("row", "a.*")
-    unknown = asked.where(F.isnan("lift")).drop("lift").join(model.pairs.select("context", "next", "lift"), ["context", "next"], "left").withColumn("lift", F.coalesce("lift", F.lit(0.0)))
-    given = unknown.where(~F.isnan("left"))
-    looked = unknown.where(F.isnan("left")).drop("left").join(model.states.select("context", "left"), "context")
-    known = asked.where(~F.isnan("lift"))
-    names = ["row", "place", "depth", "lift", "left"]
-    states = known.select(names).unionByName(given.select(names)).unionByName(looked.select(names)).groupBy("row", "place").agg(F.array_sort(F.collect_list(F.struct("depth", "lift", "left"))).alias("s"))
-    gain = F.log10(F.aggregate("s", F.lit(1.0), lambda q, x: x["lift"] + x["left"] * q))
-    return states.groupBy("row").agg(F.sum(gain).alias("far_gain"))
+        release(spark)
+    return tables, depth
+
+
+def _most_used(table: DataFrame, most: int) -> DataFrame:
+    """About `most` keys of the greatest weights; of the last step of equal (above 4096: alike) weights, a share by key."""
+    weight = F.col("weight")
+    step = F.when(weight < 4096, weight).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(weight))).cast("long"))
+    total = 0
+    for value, n in sorted(((r[0], r[1]) for r in table.groupBy(step).count().collect()), reverse=True):
+        if total + n > most:
+            part = F.pmod(F.col("key"), F.lit(1024)) < 1024 * (most - total) // n
+            return table.where((step > value) | (step == value) & part)
+        total += n
+    return table
+
+
+class Found:
+    """Values of keys from the broadcast cache (NaN: not there), and which of the others the tree may have: these are asked for."""
+
+    def __init__(self, keys: np.ndarray, shared) -> None:  # noqa: ANN001
+        self.values = shared["cache"].get(keys)
+        at = np.flatnonzero(np.isnan(self.values))
+        self.open = at[shared["known"].has(keys[at])]
+        self.keys = keys[self.open]
+
+    def may(self) -> np.ndarray:
+        out = ~np.isnan(self.values)
+        out[self.open] = True
+        return out
+
+    def close(self, answers: Values) -> None:
+        self.values[self.open] = answers.get(self.keys)
+
+
+class Walk:
+    """A group's words, and for each length of context the places where it may be a state, with that state and the pair of the place's word."""
+
+    def __init__(self, g: Group, shared, depth: int) -> None:  # noqa: ANN001
+        if "cache" not in shared:  # once a worker
+            shared["cache"] = Values(shared["keys"], shared["values"])
+        self.group = g
+        self.words, self.steps = Found(g.words ^ WORD, shared), []
+        at = np.arange(len(g.codes))
+        for length, context in enumerate(g.contexts(depth), 1):
+            at = at[g.place[at] >= length]
+            if length == 1:  # each word of the group once
+                left, index = Found(g.words, shared), g.codes[at - 1]
+            else:
+                left, index = Found(context[at], shared), np.arange(len(at))
+            ok = left.may()[index]
+            at, index = at[ok], index[ok]  # a state's suffix is a state
+            self.steps.append((at, left, index, Found(context[at] * POWER + g.hashes[at] ^ PAIR, shared)))
+
+    def questions(self) -> np.ndarray:
+        return np.unique(np.concatenate([self.words.keys, *(f.keys for _, left, _, share in self.steps for f in (left, share))]))
+
+    def score(self, answers: Values, total: float):  # noqa: ANN201
+        """(count of each place's word, P at the root, P at the longest state)."""
+        self.words.close(answers)
+        counts = np.nan_to_num(self.words.values)
+        root = ((counts + 0.5) / total)[self.group.codes]
+        p = root.copy()
+        for at, state, index, share in self.steps:
+            state.close(answers)
+            share.close(answers)
+            left = state.values[index]
+            ok = ~np.isnan(left)
+            at = at[ok]
+            p[at] = np.nan_to_num(share.values[ok]) + left[ok] * p[at]
+        return counts[self.group.codes], root, p
+
+
+def _answers(groups: DataFrame, tree: DataFrame, shared, depth: int, parts: int) -> DataFrame:  # noqa: ANN001
+    """(group, answers): for each hash class of a group's questions, in order, the values (NaN: not in the tree)."""
+
+    def ask(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        for g in _each(batches):
+            keys = Walk(g, shared.value, depth).questions()
+            rows = list(zip(*_dealt(part_of(keys, parts), parts, keys), strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array([g.number] * len(rows[0]), pa.int64()), pa.array(rows[1], pa.binary())], ["part", "group", "block"])
+
+    def deal(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            rows = list(zip(*_dealt(part_of(keys, parts), parts, keys, values), strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.nulls(len(rows[0]), pa.int64()), pa.array(rows[1], pa.binary())], ["part", "group", "block"])
+
+    def answer(rows):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        part, names, blocks = rows["part"][0].as_py(), rows["group"].to_pylist(), rows["block"].to_pylist()
+        tree = Values(*_undealt([b for g, b in zip(names, blocks, strict=True) if g is None], "<i8", "<f8"))
+        asked = [(g, tree.get(np.frombuffer(b, "<i8"))) for g, b in zip(names, blocks, strict=True) if g is not None]
+        return pa.table({"group": pa.array([g for g, _ in asked], pa.int64()), "part": pa.array([part] * len(asked), pa.int64()), "block": pa.array([v.tobytes() for _, v in asked], pa.binary())})
+
+    schema = "part long, group long, block binary"
+    met = groups.mapInArrow(ask, schema).union(tree.select("key", "value").mapInArrow(deal, schema))
+    found = met.groupBy("part").applyInArrow(answer, "group long, part long, block binary")
+    return found.groupBy("group").agg(F.array_sort(F.collect_list(F.struct("part", "block"))).alias("a")).select("group", F.col("a.block").alias("answers"))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
-    bound_batches(spark)
-    counts = checkpointed(word_counts(docs))
+    release(spark)
+    groups = groups_of(docs)
+    places = groups.agg(F.coalesce(F.sum(F.octet_length("low")), F.lit(0))).first()[0] // 2
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-places // PART_PLACES))
+    counts = stored(word_counts(groups, parts))
     tokens, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    cut = _threshold(counts, "count", HEAD_WORDS)
-    rows = counts.where(F.col("count") >= cut).sort(F.desc("count"), "word").toPandas()
-    head = Head([bytes(w) for w in rows["word"]], rows["count"].to_numpy(np.int64), tokens, distinct)
-    model = grow(docs, counts, tokens, head.total)
-    levels, far = cached(model, rows["hash"].to_numpy(np.int64)) if model else ([], None)
-    shared = spark.sparkContext.broadcast({"head": head, "levels": levels, "far": far})
+    total = tokens + 0.5 * (distinct + 1)
+    tables, depth = grow(groups, counts, tokens, total, parts)
+    tree = counts.select(F.col("word").bitwiseXOR(F.lit(int(WORD))).alias("key"), F.col("count").cast("double").alias("value"), F.col("count").alias("weight"))
+    for t in tables:
+        tree = tree.unionByName(t)
+    tree = stored(tree)
+    for t in {f for t in [counts, *tables] for f in t.inputFiles()}:
+        remove(spark, t)
+    release(spark)
+    keys, values = (c.to_numpy() for c in _most_used(tree, CACHE).select("key", "value").toArrow().columns)
+    shared = spark.sparkContext.broadcast({"keys": keys, "values": values, "known": Filter.of(tree.select("key"), tree.count())})
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
-        value = shared.value
-        base, levels, far, hashes = value["head"].root(), value["levels"], value["far"], Hashes()
-        for batch, group, texts, ids, words, sizes in _sequences(batches, _id_table(shared), hashes):
-            known = ids >= 0
-            plain = np.where(known, np.log10(base)[np.maximum(ids, 0)] if len(base) else 0.0, 0.0)
-            remote, asked = _asked(ids, sizes, words, base, levels, far)
-            logs = np.where(remote, plain, np.log10(_probabilities(ids, sizes, base, levels, words)))
-            starts = np.cumsum(sizes) - sizes
-            of = lambda x: np.add.reduceat(x, starts)
-            tails = []
-            for k, i in enumerate(group):
-                missing = np.flatnonzero(~known[starts[k] : starts[k] + sizes[k]])
-                w = symbols(texts[i]) if len(missing) else []
-                tails.append([w[j] for j in missing])
-            if asked:
-                order = np.argsort(asked[0], kind="stable")
-                asked = [x[order] for x in asked]
-                ends = np.searchsorted(asked[0], np.r_[starts, len(ids)])
-            else:
-                asked, ends = [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, float, float)], np.zeros(len(sizes) + 1, np.int64)
-            asked = pa.StructArray.from_arrays([pa.array(x) for x in asked], ["place", "depth", "context", "next", "left", "lift"])
-            asked = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), asked)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(group.start, len(group)), pa.array(sizes), pa.array(of(known.astype(np.int64))), pa.array(of(plain)), pa.array(of(logs)), pa.array(tails, pa.list_(pa.binary())), asked],
-                ["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail", "asked"],
-            )
-
-    question = "array<struct<place: long, depth: long, context: long, next: long, left: double, lift: double>>"
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>, asked {question}")
-    scored = checkpointed(scored.withColumn("row", F.monotonically_increasing_id()))
-    tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
-    rare = counts.where(F.col("count") < cut).drop("hash")
-    log = F.log10((F.coalesce("count", F.lit(0)) + 0.5) / F.lit(float(head.total)))
-    tail = tail.join(rare, "word", "left").groupBy("row").agg(F.sum(F.when(F.col("count") > 0, F.col("k")).otherwise(0)).alias("tail_known"), F.sum(F.col("k") * log).alias("tail_score"))
-    whole = lambda c, t, zero: F.col(c) + F.coalesce(F.col(t), F.lit(zero))
-    out = scored.drop("tail", "asked").join(tail, "row", "left")
-    out = out.withColumn("far_gain", F.lit(0.0)) if far is None else out.join(_answered(scored, model), "row", "left")
-    return out.select(
-        "doc_id",
-        (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
-        "n_tokens",
-        whole("head_known", "tail_known", 0).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        whole("head_base", "tail_score", 0.0).alias("base_score"),
-        (whole("head_score", "tail_score", 0.0) + F.coalesce("far_gain", F.lit(0.0))).alias("score"),
-    )
+        for batch in batches:
+            for k, g in enumerate(_each([batch])):
+                walk = Walk(g, shared.value, depth)
+                keys = walk.questions()
+                keys = keys[np.argsort(part_of(keys, parts), kind="stable")]
+                (values,) = _undealt(batch.column("answers")[k].as_py() or [], "<f8")
+                found = ~np.isnan(values)
+                counts, root, p = walk.score(Values(keys[found], values[found]), total)
+                starts = np.cumsum(g.sizes) - g.sizes
+                of = lambda x: pa.array(np.add.reduceat(x, starts))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([g.ids, pa.array(~g.train), pa.array(g.sizes), of((counts > 0).astype(np.int64)), of(np.log10(root)), of(np.log10(p))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    answers = _answers(groups, tree, shared, depth, parts)
+    out = groups.join(answers, "group", "left").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

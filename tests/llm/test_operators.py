@@ -223,10 +223,6 @@ def test_suffix_states_are_distributions_and_help(spark):
         texts.append((i, " ".join(w)))
     out = suffixtree.score(spark.createDataFrame(texts, "doc_id long, text string")).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert out[1] > 0.7 * out[0]
-    head = suffixtree.Head([b"", b"a", b"b"], np.array([5, 9, 7]), 21, 3)
-    level = suffixtree.Level(np.array([1]), np.array([0.4]), np.array([0 << 32 | 2]), np.array([0.6]))
-    p = [suffixtree._probabilities(np.array([1, w]), np.array([2]), head.root(), [level])[1] for w in (0, 1, 2)]
-    assert math.isclose(sum(p) + 0.4 * 0.5 / head.total, 1.0)
 
 
 def test_toxicity_learns_and_drops(spark):

@@ -79,11 +79,33 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize(("words", "pairs"), [(200_000, 400_000), (3, 400_000), (200_000, 5), (40, 30), (0, 0)])
-def test_scores_equal_the_whole_tree(spark, texts, monkeypatch, words, pairs):
-    monkeypatch.setattr(suffixtree, "HEAD_WORDS", words)
-    monkeypatch.setattr(suffixtree, "CACHED_PAIRS", pairs)
+@pytest.mark.parametrize(("cache", "bits", "chars"), [(500_000, 27, 12_000_000), (100, 27, 12_000_000), (5, 17, 4000), (0, 16, 1)])
+def test_scores_equal_the_whole_tree(spark, texts, monkeypatch, cache, bits, chars):
+    monkeypatch.setattr(suffixtree, "CACHE", cache)
+    monkeypatch.setattr(suffixtree, "FILTER_BITS", bits)
+    monkeypatch.setattr(suffixtree, "GROUP_CHARS", chars)
+    monkeypatch.setattr(suffixtree, "PART_PLACES", 10 * chars)
     expected, sizes = plain(texts)
     assert len(sizes) >= 3
+    out = suffixtree.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert math.isclose(r["score"], expected[r["doc_id"]], rel_tol=1e-9)
+
+
+def test_words_of_equal_count_all_count(spark, monkeypatch):
+    """No word, pair or state is lost where more of them tie than the cache holds."""
+    monkeypatch.setattr(suffixtree, "CACHE", 50)
+    texts = [(20 * i + k, f"x{i} y{i} z{i}") for i in range(200) for k in range(20)]
+    expected, sizes = plain(texts)
+    assert sizes[0] >= 590
     for r in suffixtree.score(spark.createDataFrame(texts, "doc_id long, text string")).collect():
         assert math.isclose(r["score"], expected[r["doc_id"]], rel_tol=1e-9)
+
+
+def test_odd_texts(spark):
+    long = " ".join(f"w{i % 700}" for i in range(200_000))
+    rows = [(1, long, 5), (2, None, 5), (None, " \n\t a  B\x0b", 5), (2, "", 5), (2, "", 5), (3, "\x1ca b\u2003c É", 5)]
+    out = suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string, score long")).collect()
+    assert sorted(((r["doc_id"] or 0, r["n_tokens"]) for r in out)) == [(0, 3), (1, 200_001), (2, 1), (2, 1), (2, 1), (3, 4)]
+    assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in out)
