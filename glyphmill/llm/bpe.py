@@ -36,6 +36,8 @@ from .common import id_and_text
 
 END = "\0"  # stands for the end-of-word suffix behind the last symbol of a word; no byte maps to it
 NEVER = 1 << 60
+#: Characters of a word that are turned into symbols at a time, and ids of a long piece that leave together.
+STEP = 4096
 
 
 def byte_letters() -> list[str]:
@@ -217,6 +219,7 @@ class Encoder:
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(merges.specials, key=len, reverse=True))) + ")") if merges.specials else None
         self.known = chunks.PieceTable(lambda batch: [self.piece(p) for p in batch], limit)
         self.limit, self.words = limit, {}
+        self.stream = Transducer(merges)
 
     def word(self, word: str) -> bytes:
         ids = self.words.get(word)
@@ -228,29 +231,47 @@ class Encoder:
                 self.words[word] = ids
         return ids
 
-    def transduce(self, word: str) -> list[int]:
-        if not (word.isascii() and word.isprintable()):
-            word = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        if len(word) <= 1024:
-            return self.merges.tokens(word + END)
-        stream = Transducer(self.merges)
-        out = list(stream.feed(word))
-        out += stream.finish(suffix=True)
-        return out
-
-    def piece(self, piece: str) -> bytes:
-        out: list[bytes] = []
+    def transduce(self, word: str) -> Iterator[int]:
+        """Ids of one word, each as soon as it is stable."""
+        for k in range(0, len(word), STEP):
+            part = word[k : k + STEP]
+            if not (part.isascii() and part.isprintable()):
+                part = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+            yield from self.stream.feed(part)
+        yield from self.stream.finish(suffix=True)
+
+    def parts(self, piece: str) -> Iterator[str | int]:
+        """The words of a piece and the ids of special tokens in it."""
         for part in self.special.split(piece) if self.special and "<" in piece else (piece,):
             if part in self.merges.specials:
-                out.append(self.merges.specials[part].to_bytes(4, "little"))
+                yield self.merges.specials[part]
             elif part:
-                out += map(self.word, self.pieces.findall(unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()))
-        return b"".join(out)
+                yield from (m[0] for m in self.pieces.finditer(unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()))
+
+    def piece(self, piece: str) -> bytes:
+        return b"".join(p.to_bytes(4, "little") if isinstance(p, int) else self.word(p) for p in self.parts(piece))
+
+    def emit(self, piece: str) -> Iterator[bytes]:
+        """A long piece's ids in small blocks, of which none is kept."""
+        block = array("I")
+        for part in self.parts(piece):
+            for i in (part,) if isinstance(part, int) else self.transduce(part):
+                block.append(i)
+                if len(block) == STEP:
+                    yield block.tobytes()
+                    block = array("I")
+        yield block.tobytes()
 
     def encode(self, text: str, slab: int = 1 << 18) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids, slab by slab."""
+        """Little-endian unsigned 32-bit ids, slab by slab; a piece beyond STEP characters goes through block by block."""
         for part in chunks.slabs(text, slab):
-            yield b"".join(self.known.values(chunks.words(part)))
+            pieces = chunks.words(part)
+            start = 0
+            for i in [i for i, p in enumerate(pieces) if len(p) > STEP]:
+                yield b"".join(self.known.values(pieces[start:i]))
+                yield from self.emit(pieces[i])
+                start = i + 1
+            yield b"".join(self.known.values(pieces[start:]))
 
 
 class Decoder:

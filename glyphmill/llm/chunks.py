@@ -15,6 +15,7 @@ _SPACES = re.compile(f"[{SPACE}]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 _RUN = re.compile(r"\s\s|^\s|\s$")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+LONG_SPACE = re.compile(r"\s{5000}")
 
 
 def slabs(text: str, size: int) -> Iterator[str]:
@@ -54,32 +55,51 @@ def spaced(text: str) -> list[str]:
 
 
 class PieceTable[V]:
-    """piece -> value for at most `limit` pieces; then it starts anew, so memory stays constant."""
+    """piece -> value for at most `limit` pieces of `chars` characters together; then it starts anew, so memory stays constant. Pieces beyond LONGEST are never kept."""
 
-    def __init__(self, compute: Callable[[list[str]], list[V]], limit: int = 500_000, batch_chars: int = 1 << 18) -> None:
-        self.compute, self.limit, self.batch_chars, self.known = compute, limit, batch_chars, {}
+    LONGEST = 256
+
+    def __init__(self, compute: Callable[[list[str]], list[V]], limit: int = 500_000, chars: int = 16_000_000, batch_bytes: int = 1 << 18) -> None:
+        self.compute, self.limit, self.chars, self.batch_bytes, self.known, self.size = compute, limit, chars, batch_bytes, {}, 0
 
     def values(self, pieces: list[str]) -> list[V]:
         known = self.known
         found = list(map(known.get, pieces))
         if None in found:
             new = list({p for p, v in zip(pieces, found, strict=True) if v is None})
-            if len(known) + len(new) > self.limit:
+            fresh: dict[str, V] = {}
+            for batch in balanced(new, self.batch_bytes):
+                fresh.update(zip(batch, self.compute(batch), strict=True))
+            found = [fresh[p] if v is None else v for p, v in zip(pieces, found, strict=True)]
+            kept = [p for p in new if len(p) <= self.LONGEST]
+            size = sum(map(len, kept))
+            if len(known) + len(kept) > self.limit or self.size + size > self.chars:
                 known.clear()
-                new = list(set(pieces))
-            batch: list[str] = []
-            size = 0
-            for p in new:  # batches of about equal bytes
-                batch.append(p)
-                size += len(p)
-                if size >= self.batch_chars:
-                    known.update(zip(batch, self.compute(batch), strict=True))
-                    batch, size = [], 0
-            known.update(zip(batch, self.compute(batch), strict=True))
-            found = list(map(known.__getitem__, pieces))
+                self.size = 0
+            known.update((p, fresh[p]) for p in kept)
+            self.size += size
         return found
 
 
+def n_bytes(piece: str | bytes) -> int:
+    return len(piece) if isinstance(piece, bytes) or piece.isascii() else len(piece.encode("utf-8", "surrogatepass"))
+
+
+def balanced(pieces: list, most: int) -> Iterator[list]:
+    """Batches of about equal bytes, as few as hold `most` bytes or a little more each; a longer piece is a batch with what stands before it."""
+    sizes = list(map(n_bytes, pieces))
+    total = sum(sizes)
+    share = total / max(1, -(-total // most))
+    start = done = 0
+    for i, size in enumerate(sizes, 1):
+        done += size
+        if done >= share:
+            yield pieces[start:i]
+            start, done = i, 0
+    if start < len(pieces):
+        yield pieces[start:]
+
+
 def library(path: str) -> object:
     """A tokenizer of the tokenizers library without truncation or padding, on one thread (Spark has the others)."""
     import os

@@ -81,14 +81,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def byte_groups(texts: list[str | None], limit: int) -> Iterator[range]:
-    """Runs of neighbouring rows that hold about `limit` characters each (a longer text is a run of its own)."""
+def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
+    """Runs of neighbouring rows with these sizes that hold about `limit` together (a larger row is a run of its own)."""
     start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    for i, n in enumerate(sizes):
         if i > start and size + n > limit:
             yield range(start, i)
             start, size = i, 0
         size += n
-    if start < len(texts):
-        yield range(start, len(texts))
+    if start < len(sizes):
+        yield range(start, len(sizes))

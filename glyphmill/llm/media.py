@@ -54,6 +54,8 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     if width <= 0 or height <= 0 or not 0 < most < 65536:
         raise ValueError("Netpbm: bad size or maximum")
     n = width * height * channels
+    if n > 8 * len(data):
+        raise ValueError("Netpbm: samples are missing")
     if kind == b"P4":
         row = (width + 7) // 8
         bits = np.frombuffer(data, np.uint8, row * height, at).reshape(height, row)
@@ -61,11 +63,18 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     if kind == b"P1":
         samples = np.array([c - 48 for c in data[at - 1 :] if c in (48, 49)][:n], np.uint8)
     elif kind in (b"P2", b"P3"):
-        samples = np.array(data[at - 1 :].split()[:n], np.uint16 if most > 255 else np.uint8)
+        words = data[at - 1 :].split()[:n]
+        if not all(len(w) < 10 and w.isdigit() for w in words):
+            raise ValueError("Netpbm: a sample is no number")
+        samples = np.array(words, np.int64)
     else:
         samples = np.frombuffer(data, ">u2" if most > 255 else np.uint8, n, at)
     if len(samples) < n:
         raise ValueError("Netpbm: samples are missing")
+    if len(samples) and samples.max() > most:
+        raise ValueError("Netpbm: a sample is above the maximum")
+    if samples.dtype == np.int64:
+        samples = samples.astype(np.uint16 if most > 255 else np.uint8)
     if bitmap:
         samples = (1 - samples) * np.uint8(255)
     return samples.reshape((height, width) if channels == 1 else (height, width, 3))
@@ -73,7 +82,7 @@ def decode_netpbm(data: bytes) -> np.ndarray:
 
 def decode_bmp(data: bytes) -> np.ndarray:
     """Uncompressed BMP of 1, 4, 8, 24 or 32 bits: (height, width) if every palette entry is grey, else (height, width, 3)."""
-    if data[:2] != b"BM":
+    if data[:2] != b"BM" or len(data) < 54:
         raise ValueError("not a BMP image")
     offset, size, width, height, _, bits, packed = struct.unpack_from("<IIiiHHI", data, 10)
     if packed not in (0, 3) or bits not in (1, 4, 8, 24, 32) or width <= 0 or height == 0 or packed == 3 and bits != 32:
@@ -91,6 +100,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     else:
         per = 8 // bits
         index = np.stack([raw >> (8 - bits * (k + 1)) & (1 << bits) - 1 for k in range(per)], axis=2).reshape(rows, -1)[:, :width]
+    if index.max() >= len(palette):
+        raise ValueError("BMP: a sample is not in the palette")
     image = palette[index]
     grey = (palette[:, 0] == palette[:, 1]).all() and (palette[:, 1] == palette[:, 2]).all()
     return image[:, :, 0].copy() if grey else image
@@ -232,7 +243,7 @@ def decode_column(images: DataFrame, key: str, media: str, side: int = TILE) ->
                 try:
                     image = decode(bytes(data))
                     rows.append((image.shape[0], image.shape[1], f"{difference_hash(image):016x}", to_npy(tile(image, side))))
-                except (ValueError, TypeError, struct.error):
+                except (ValueError, TypeError):
                     rows.append((None,) * 4)
             columns = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.string(), pa.binary()), strict=True))], ["key", "height", "width", "dhash", "tile_npy"])

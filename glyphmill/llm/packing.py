@@ -37,6 +37,8 @@ def _encoder(path: str) -> Callable[[str], bytes]:
     by ranks, which is several times faster; any other goes to its own library (tests hold both together)."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    tokenizer = chunks.library(path)
+    by_library = lambda text: array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
     vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
     split = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and spec["pre_tokenizer"]["use_regex"] and not spec["pre_tokenizer"]["add_prefix_space"]
     letters = {c: b for b, c in enumerate(byte_letters())}
@@ -48,9 +50,10 @@ def _encoder(path: str) -> Callable[[str], bytes]:
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
         names = set(special)
         bpe = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        return lambda text: bpe.encode_to_numpy(text, allowed_special=names, disallowed_special=()).astype("<u4").tobytes()
-    tokenizer = chunks.library(path)
-    return lambda text: array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+        by_rank = lambda text: bpe.encode_to_numpy(text, allowed_special=names, disallowed_special=()).astype("<u4").tobytes()
+        # The rank encoder's pattern goes back over white space step by step and fails on very long runs of it.
+        return lambda text: by_library(text) if chunks.LONG_SPACE.search(text) else by_rank(text)
+    return by_library
 
 
 def decompose(n: int, longest: int = LONGEST) -> list[int]:
@@ -80,7 +83,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, longest: int = LONGE
         for batch in batches:
             texts = batch.column("text").to_pylist()
             keys = batch.column("doc_id").to_pylist()
-            for group in byte_groups(texts, 4 * GROUP_CHARS):
+            for group in byte_groups([len(t or "") for t in texts], 4 * GROUP_CHARS):
                 out: list[list] = [[], [], [], [], [], []]
                 for i in group:
                     text = texts[i] or ""

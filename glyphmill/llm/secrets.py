@@ -23,13 +23,17 @@ from pyspark.sql import functions as F
 
 RUN = "[A-Za-z0-9_+/-]"
 PADDING = "(?:={1,2}(?![A-Za-z0-9_+/=-]))?"
-KEY_BLOCK = "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
+#: A run with a value behind = is that value's name.
+UNNAMED = "(?!=[\"']?[A-Za-z0-9_+/-])"
+#: To its END line, with header lines; without one, as far as base64 goes.
+KEY_BLOCK = "-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----|[A-Za-z0-9+/=\\s]*+)"
 #: Three dotted parts, the first one the JSON of a header in base64.
 JWT = "(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]{8,}+\\.[A-Za-z0-9_-]{8,}+\\.[A-Za-z0-9_-]{8,}+"
 #: How tokens of well-known issuers begin.
 ISSUED = "(?:gh[opsur]_|github_pat_|glpat-|AKIA|ASIA|[srp]k_(?:live|test)_|xox[abpr]-)"
-CANDIDATE = f"{KEY_BLOCK}|{JWT}|(?<!{RUN}){ISSUED}{RUN}{{14,}}+{PADDING}|(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z]){RUN}{{16,}}+{PADDING}"
+CANDIDATE = f"{KEY_BLOCK}|{JWT}|(?<!{RUN}){ISSUED}{RUN}{{14,}}+{PADDING}|(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z]){RUN}{{16,}}+{PADDING}{UNNAMED}"
 CONTEXT = 48
+BLOCK = 256
 ACCEPT = 0.5
 MASK = "[SECRET]"
 #: Words of code and prose that names, slugs and paths are made of.
@@ -139,19 +143,39 @@ class Forest:
         return reduce(lambda a, b: a + b, map(case, self.trees)) / float(len(self.trees))
 
 
-def candidates(text: Column) -> Column:
-    """array of (start, value, before, behind) for a text; the words around a candidate may be those of its neighbours."""
-    found, between = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
+def _let(value: Column, body) -> Column:  # noqa: ANN001
+    """body(value) with value evaluated once: inside a lambda, an expression from outside would run again for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sums_before(lengths: Column) -> Column:
+    """For each length the sum of those before it. Folds copy what they have built, so they go over blocks of BLOCK lengths, not over all of them."""
+    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<long>").alias("out"))
+    fold = lambda a: F.aggregate(a, zero, lambda s, n: F.struct((s["sum"] + n).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")), lambda s: s["out"])
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, n: s + n)
+    blocks = _let(lengths, lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda k: F.slice(x, k * BLOCK + 1, F.lit(BLOCK))))
+    return _let(blocks, lambda x: F.flatten(F.zip_with(x, fold(F.transform(x, total)), lambda block, start: F.transform(fold(block), lambda n: n + start))))
+
 
-    def one(k: Column) -> Column:
-        last = F.when(k > 1, F.element_at(found, k - 1)).otherwise("")
-        following = F.when(k < F.size(found), F.element_at(found, k + 1)).otherwise("")
-        before = F.right(F.concat(last, F.element_at(between, k)), F.lit(CONTEXT))
-        behind = F.substring(F.concat(F.element_at(between, k + 1), following), 1, CONTEXT)
-        start = F.aggregate(F.slice(between, 1, k), F.lit(0).cast("long"), lambda n, s: n + F.length(s)) + F.aggregate(F.slice(found, 1, k - 1), F.lit(0).cast("long"), lambda n, s: n + F.length(s))
-        return F.struct(start.alias("start"), F.element_at(found, k).alias("value"), before.alias("before"), behind.alias("behind"))
+def _placed(found: Column, between: Column) -> Column:
+    n = F.size(found)
+    last, following = F.concat(F.array(F.lit("")), F.slice(found, 1, n - 1)), F.concat(F.slice(found, 2, n), F.array(F.lit("")))
+    before = F.zip_with(last, F.slice(between, 1, n), lambda v, gap: F.right(F.concat(v, gap), F.lit(CONTEXT)))
+    behind = F.zip_with(F.slice(between, 2, n), following, lambda gap, v: F.substring(F.concat(gap, v), 1, CONTEXT))
+    gaps = F.transform(F.slice(between, 1, n), lambda gap: F.length(gap).cast("long"))
+    starts = F.zip_with(_sums_before(F.zip_with(gaps, found, lambda gap, v: gap + F.length(v))), gaps, lambda s, gap: s + gap)
+    values = F.zip_with(starts, found, lambda s, v: F.struct(s.alias("start"), v.alias("value")))
+    around = F.zip_with(before, behind, lambda b, h: F.struct(b.alias("before"), h.alias("behind")))
+    return F.zip_with(values, around, lambda p, c: F.struct(p["start"].alias("start"), p["value"].alias("value"), c["before"].alias("before"), c["behind"].alias("behind")))
+
+
+def candidates(text: Column) -> Column:
+    """array of (start, value, before, behind) for a text; the words around a candidate may be those of its neighbours.
 
-    return F.when(text.rlike(CANDIDATE), F.transform(F.sequence(F.lit(1), F.size(found)), one))
+    Every step goes over whole arrays, so a text's cost is linear in its candidates (but for _sums_before(), whose power is 1.5 at most).
+    """
+    both = F.struct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split(text, CANDIDATE, -1).alias("between"))
+    return F.when(text.rlike(CANDIDATE), _let(both, lambda x: _placed(x["found"], x["between"])))
 
 
 def as_scanned(labelled: DataFrame) -> DataFrame:
@@ -191,5 +215,5 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     forest = Forest.train(labelled if labelled is not None else labelled_findings(docs.sparkSession))
     text = F.col("text")
     hits, between = findings(text, forest), F.split(text, CANDIDATE, -1)
-    parts = F.transform(F.sequence(F.lit(1), F.size(hits)), lambda k: F.concat(F.element_at(between, k), F.when(F.element_at(hits, k)["score"] >= ACCEPT, F.lit(MASK)).otherwise(F.element_at(hits, k)["value"])))
+    parts = F.zip_with(F.slice(between, 1, F.size(between) - 1), hits, lambda gap, h: F.concat(gap, F.when(h["score"] >= ACCEPT, F.lit(MASK)).otherwise(h["value"])))
     return docs.withColumn("text", F.when(text.rlike(CANDIDATE), F.concat(F.array_join(parts, ""), F.element_at(between, -1))).otherwise(text))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import bound_batches, fold, release, remove, stored
 
 FOLDS, HELD_OUT = 5, 1
-CACHE = 200_000
+CACHE = 1_000_000
 LEAST_CONTEXT = 8
 FILTER_BITS = 28
 DISCOUNT = 0.75
@@ -63,7 +63,7 @@ class Filter:
     @classmethod
     def of(cls, keys: DataFrame, n: int) -> Filter:
         """Of one column of n longs, 2^FILTER_BITS bits at most; built in tasks, of which a few partial filters reach the driver one by one."""
-        size = min(FILTER_BITS, max(16, (8 * n).bit_length()))
+        size = min(FILTER_BITS, max(16, (16 * n).bit_length()))
 
         def run(batches):  # noqa: ANN001, ANN202
             import pyarrow as pa
@@ -93,10 +93,10 @@ class Filter:
 
 
 class Values:
-    """Distinct keys with their values, in an open hash table of four slots a key or more."""
+    """Distinct keys with their values, in an open hash table of two slots a key or more."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        size = max(2, (4 * len(keys)).bit_length())
+        size = max(2, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - size), np.uint64((1 << size) - 1)
         self.keys, self.values = np.zeros(1 << size, np.int64), np.full(1 << size, np.nan)
         at, left = self._slots(keys), np.arange(len(keys))
