@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -46,12 +48,14 @@ def lower_bytes(data: bytes) -> bytes:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which the driver and all executors share. It must be set: a local folder would lose data on a cluster."""
+    """The folder of spark.checkpoint.dir, which the driver and all executors share. Where it is unset, one is chosen in local mode; on a cluster that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and the executors share")
+            if not re.match(r"local($|\[)", context.master):
+                raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and the executors share")
+            folder = tempfile.mkdtemp(prefix="glyphmill-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
@@ -81,6 +85,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """About `most` rows, those of the least hashes of `key`, by a threshold from the count: no partition sends more than its share to the driver."""
+    n = rows.count()
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < (1 << 40) * most // n)
+
+
 def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
     """Runs of neighbouring rows with these sizes that hold about `limit` together (a larger row is a run of its own)."""
     start = size = 0

@@ -22,13 +22,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, checkpointed, fold
+from .common import bound_batches, checkpointed, fold, hash_sample
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 DIGITS = b"0123456789"
 WINDOW = 5
-#: The score is learned from at most so many labelled rows, those of the least hashes.
+#: The score is learned from about so many labelled rows at most, those of the least hashes.
 SAMPLE_ROWS = 20_000
 RISK = 0.01
 CONFIDENCE = 0.05
@@ -184,7 +184,7 @@ def learn(counted: DataFrame, labels: DataFrame, risk: float = RISK, confidence:
     """The score from a bounded sample of one half of the labelled rows, the cutoffs from all rows of the other half."""
     known = labelled(counted, labels)
     half = fold(F.col("doc_id"), 2)
-    sample = known.where(half == 0).select(F.array(*_shares()).alias("x"), "bad", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE_ROWS).toPandas()
+    sample = hash_sample(known.where(half == 0), "doc_id", SAMPLE_ROWS).select("doc_id", F.array(*_shares()).alias("x"), "bad").toPandas().sort_values("doc_id")
     weights = None
     if len(sample) and sample["bad"].nunique() == 2:
         weights = fit_logistic(np.array(sample["x"].tolist(), float), sample["bad"].to_numpy(float)).tolist()

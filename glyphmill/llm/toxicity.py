@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PieceTable
-from .common import bound_batches, checkpointed, fold, lower_bytes
+from .common import bound_batches, checkpointed, fold, hash_sample, lower_bytes
 from .quality import fit_logistic
 
-#: The dictionaries are trained on at most so many labelled documents of each class (those of the least hashes),
+#: The dictionaries are trained on about so many labelled documents of each class (those of the least hashes),
 #: and on about so many windows of each; the calibration on at most so many labelled documents.
 TRAIN_DOCUMENTS = 2500
 TRAIN_WINDOWS = 150
@@ -137,7 +137,7 @@ def sample_words(docs: DataFrame, labels: DataFrame) -> tuple[list[Counter[bytes
     classes = []
     for c in (0, 1):
         rows = labels.where(training_fold(F.col("doc_id")) & (F.col("toxic") == c)).select("doc_id").distinct()
-        classes.append({r[0] for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS).collect() if r[0] is not None})
+        classes.append({r[0] for r in hash_sample(rows, "doc_id", TRAIN_DOCUMENTS).collect() if r[0] is not None})
     class_of = {i: c for c, ids in enumerate(classes) for i in ids}
 
     def run(batches):  # noqa: ANN001, ANN202
@@ -159,7 +159,10 @@ def sample_words(docs: DataFrame, labels: DataFrame) -> tuple[list[Counter[bytes
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["class", "word", "triple"])
 
-    triples = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "class int, word binary, triple binary").distinct()
+    # Ids of the sample (bounded) are sent out, so only its texts reach Python.
+    ids = docs.sparkSession.createDataFrame([(i,) for i in class_of] or [], "doc_id long")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    triples = chosen.mapInArrow(run, "class int, word binary, triple binary").distinct()
     found: list[Counter[bytes]] = [Counter(), Counter()]
     for c, word, n in triples.groupBy("class", "word").count().toPandas().itertuples(index=False):
         found[c][bytes(word)] = n
@@ -227,7 +230,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     dictionaries = train(toxic, ordinary)
     counted = checkpointed(with_counts(docs, dictionaries, keep=False))
     known = counted.where(training_fold(F.col("doc_id"))).join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id")
-    sample = known.select("doc_id", F.array(*_inputs()).alias("x"), "toxic", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(CALIBRATION_ROWS).toPandas()
+    sample = hash_sample(known, "doc_id", CALIBRATION_ROWS).select("doc_id", F.array(*_inputs()).alias("x"), "toxic").toPandas().sort_values("doc_id")
     fresh = sample[~sample["doc_id"].isin(used)]
     if len(fresh) and min(fresh["toxic"].eq(0).sum(), fresh["toxic"].eq(1).sum()) >= 100:  # documents that the dictionaries haven't seen, where there are enough
         sample = fresh
