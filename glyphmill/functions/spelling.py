@@ -42,7 +42,7 @@ def mechanical(text: Column, removed: Column) -> Column:
 
 def restore(skeleton: Column, removed: Column) -> Column:
     """removed: array of (pos, letter); inserted in ascending order of position."""
-    return F.aggregate(F.array_sort(removed), skeleton, lambda t, r: F.concat(F.substring(t, F.lit(1), r["pos"]), r["letter"], F.substring(t, r["pos"] + 1, F.lit(1_000_000))))
+    return F.aggregate(F.array_sort(removed), skeleton, lambda t, r: F.concat(F.substring(t, F.lit(1), r["pos"]), r["letter"], F.substring(t, r["pos"] + 1, F.length(t))))
 
 
 def to_male(text: Column) -> Column:

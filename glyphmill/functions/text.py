@@ -30,6 +30,18 @@ def normalize(text: Column) -> Column:
     return out
 
 
+#: Presentation forms whose canonical composition is a letter with marks, and the ligatures.
+_DECOMPOSED = {chr(c): unicodedata.normalize("NFC", chr(c)) for c in range(0xFB1D, 0xFB50) if unicodedata.normalize("NFC", chr(c)) != chr(c)} | LIGATURES
+
+
+def decomposed(text: Column) -> Column:
+    """normalize() as far as slots can tell: forms and ligatures as letters with marks. The order of marks, which NFC also sets, makes no difference to slots."""
+    out = text
+    for one, several in _DECOMPOSED.items():
+        out = F.replace(out, F.lit(one), F.lit(several))
+    return F.when(text.rlike("[" + "".join(_DECOMPOSED) + "]"), out).otherwise(text)
+
+
 def strip(text: Column, profile: ScriptProfile = HEBREW, keep_cantillation: bool = False) -> Column:
     if keep_cantillation:
         return F.regexp_replace(text, f"[{MARKS}&&[^\\u0591-\\u05AF]]", "")
@@ -62,10 +74,10 @@ def slot(base: Column, vowel: Column, dagesh: Column, shin: Column) -> Column:
 
 def slots(text: Column) -> Column:
     def one(c: Column) -> Column:
-        marks = F.substring(c, 2, 1_000_000)
+        marks = F.substring(c, F.lit(2), F.length(c))
         return slot(F.substring(c, 1, 1), F.regexp_extract(marks, f"[{VOWELS}]", 0), marks.contains(DAGESH), F.regexp_extract(marks, f"(?s).*([{SHIN_DOT}{SIN_DOT}])", 1))
 
-    return F.transform(clusters(text), one)
+    return F.transform(clusters(decomposed(text)), one)
 
 
 def is_letter(s: Column) -> Column:
@@ -90,7 +102,7 @@ def fix_mater_vowels(text: Column) -> Column:
 
     A left-to-right fold, as a moved holam can move on. Text that doesn't change keeps all its marks.
     """
-    t = text
+    t = decomposed(text)
     start = F.slice(slots(t), 1, 0)
 
     def step(done: Column, s: Column) -> Column:
@@ -147,10 +159,12 @@ def word_matches(a: Column, b: Column, ignore_shin: bool = False, lenient: bool
 
 
 def char_errors(gold: Column, predicted: Column) -> Column:
-    """struct(errors, slots); all slots are wrong where the lengths differ."""
+    """struct(errors, slots) by vowel, dagesh and dot; where the lengths differ, all slots of the longer one are wrong."""
     x, y = slots(gold), slots(predicted)
-    wrong = F.size(F.filter(F.zip_with(x, y, lambda s, t: F.coalesce(_same(s, t, False, False), F.lit(False))), lambda ok: ~ok))
-    return F.struct(F.when(F.size(x) == F.size(y), wrong).otherwise(F.size(x)).alias("errors"), F.size(x).alias("slots"))
+    marks = lambda s: F.struct(s["vowel"], s["dagesh"], s["shin"])
+    wrong = F.size(F.filter(F.zip_with(x, y, lambda s, t: marks(s) == marks(t)), lambda ok: ~ok))
+    most = F.greatest(F.size(x), F.size(y))
+    return F.struct(F.when(F.size(x) == F.size(y), wrong).otherwise(most).alias("errors"), most.alias("slots"))
 
 
 def char_labels(text: Column, classes: list[str], ignore: int = -100) -> Column:

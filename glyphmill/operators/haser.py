@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.spelling import mater_positions, mechanical
+from ..functions.spelling import mater_positions, mechanical, restore
 from ..functions.text import letter_slots, slots, word_matches
 from ..profile import HEBREW, PREFIXES
+from . import cascade
 
 MOST, SUPPORT, RATIO, STRONG, VS_FULL = 4, 3, 0.50, 25, 0.35
 ELIGIBLE = ("model", "lexicon", "bigram")
@@ -78,3 +79,26 @@ def apply(decisions: DataFrame, conversions: DataFrame) -> DataFrame:
     d = decisions.join(conversions.select(F.col("form"), "converted", "removed"), "form", "left")
     use = F.col("source").isin(list(ELIGIBLE)) & F.col("converted").isNotNull()
     return d.select("id", "idx", "original", "skeleton", F.when(use, F.col("converted")).otherwise(F.col("form")).alias("form"), F.when(use, "haser").otherwise(F.col("source")).alias("source"), "confident", "note", F.when(use, F.col("removed")).alias("removed"), F.when(use, F.col("source")).alias("from_layer"))
+
+
+def assert_restorable(decisions: DataFrame) -> DataFrame:
+    """decisions with an error in the form of each word whose letters, with the removed ones put back, aren't the source's."""
+    places = F.transform("removed", lambda r: F.struct(r["pos"].alias("pos"), r["letter"].alias("letter")))
+    bare = HEBREW.strip(F.col("form"))
+    ok = F.when(F.col("removed").isNull(), bare).otherwise(restore(bare, places)) == F.col("skeleton")
+    return decisions.withColumn("form", F.when(ok, F.col("form")).otherwise(F.raise_error(F.concat(F.lit("not restorable: "), F.col("original"), F.lit(" to "), F.col("form")))))
+
+
+def vocalize(texts: DataFrame, res: cascade.Resources, ktiv: str = "male") -> tuple[DataFrame, DataFrame]:
+    """((id, text), decisions) of texts (id, text) in full (male) or defective (haser) spelling; haser needs a lexicon with variants.
+
+    Full spelling keeps the identity with the source; defective spelling is held to restorability instead, word by word.
+    """
+    if ktiv not in ("male", "haser"):
+        raise ValueError(f"unknown spelling {ktiv}")
+    decided = cascade.decide(texts, res, HEBREW)
+    if ktiv == "male":
+        return cascade.reassemble(texts, decided, HEBREW), decided
+    eligible = decided.where(F.col("source").isin(list(ELIGIBLE))).select("form")
+    decided = assert_restorable(apply(decided, convert(eligible, res.lexicon)))
+    return cascade.reassemble(texts, decided, HEBREW, identity=False), decided

@@ -45,7 +45,7 @@ def matches(queries: DataFrame, idx: DataFrame, source: DataFrame) -> DataFrame:
     found = hits(queries, idx)
     src = source.select("span_id", F.col("skeletons").alias("source"))
     measured = found.join(src, "span_id").join(queries.select("id", F.col("skeletons").alias("query")), "id")
-    rest = F.zip_with(F.slice("query", F.col("i") + N + 1, 1_000_000), F.slice("source", F.col("off") + N + 1, 1_000_000), lambda a, b: ~a.eqNullSafe(b))
+    rest = F.zip_with(F.slice("query", F.col("i") + N + 1, F.size("query")), F.slice("source", F.col("off") + N + 1, F.size("source")), lambda a, b: ~a.eqNullSafe(b))
     stop = F.array_position(rest, True).cast("int")
     run = N + F.when(stop == 0, F.size(rest)).otherwise(stop - 1)
     cand = measured.select("id", "i", "span_id", "off", run.alias("run"))

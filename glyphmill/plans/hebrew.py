@@ -95,7 +95,7 @@ def hebrew_functions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "fn", value.alias("value"))
 
 
-MATCHES = [("שָׂם", "שָׁם", False, True, 1, 2), ("בְּ", "בְּ", True, True, 0, 1), ("שָׁלוֹם", "שָׁלוּם", False, False, 1, 4), ("אב", "אבג", False, False, 2, 2)]
+MATCHES = [("שָׂם", "שָׁם", False, True, 1, 2), ("בְּ", "בְּ", True, True, 0, 1), ("שָׁלוֹם", "שָׁלוּם", False, False, 1, 4), ("אב", "אבג", False, False, 3, 3), (chr(0xFB2A) + "ם", "שׁם", True, True, 0, 2), ("ײן", "יין", True, True, 0, 3)]
 
 
 def hebrew_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -147,7 +147,15 @@ def hebrew_quotes(spark: SparkSession, d: str) -> DataFrame:
     return quotes.quoted_tokens(quotes.matches(queries, quotes.index(src), src), src).select("id", F.col("idx").cast("long").alias("idx"), "form", "span_id")
 
 
-HASER_LEXICON = [("חבור", [("חִבּוּר", 50)]), ("כלם", [("כֻּלָּם", 40)]), ("תקון", [("תִּקּוּן", 30)]), ("אש", [("אִשׁ", 1)])]
+#: Counted variants by skeleton, and what becomes of full spellings with them.
+HASER_LEXICON = [
+    ("חבור", [("חִבּוּר", 260), ("חָבוֹר", 3)]),
+    ("חיבור", [("חִיבּוּר", 38)]),
+    ("כלם", [("כֻּלָּם", 232), ("כֻלָּם", 28)]),
+    ("אש", [("אֵשׁ", 269)]),
+    ("הא", [("הָא", 5819), ("הִא", 1)]),
+    ("תקון", [("תַּקּוּן", 23), ("תִקּוּן", 17), ("תִּקּוּן", 15)]),
+]
 HASER = [("חִיבּוּר", "חִבּוּר", "1", "י"), ("כּוּלָּם", "כֻּלָּם", "1", "ו"), ("הַחִיבּוּר", "הַחִבּוּר", "2", "י"), ("תִּיקּוּן", "תִּקּוּן", "1", "י")]
 
 
@@ -160,6 +168,47 @@ def hebrew_haser(spark: SparkSession, d: str) -> DataFrame:
     return out.select("form", "converted", F.array_join(F.transform("removed", lambda r: r["pos"].cast("string")), ",").alias("removed"), F.array_join(letters, ",").alias("letters"), (restored == HEBREW.strip(F.col("form"))).alias("restorable"))
 
 
+#: (spelling, text, expected text, expected sources, letters removed); the last rows are lines of a source, known to the quotation layer.
+SPELLED = [("male", "חיבור", "חִיבּוּר", "lexicon", ""), ("haser", "חיבור", "חִבּוּר", "haser", "י"), ("haser", "על חיבור, זה", "על חִבּוּר, זה", "unresolved,haser,unresolved", "י"), ("haser", "חִיבּוּר", "חִיבּוּר", "preexisting", ""), ("haser", "אש", "אֵשׁ", "lexicon", "")]
+
+
+def _lexicon_with_variants(spark: SparkSession) -> DataFrame:
+    rows = [(s, "unambiguous", _n(v[0][0]), None, [(_n(f), n) for f, n in v]) for s, v in HASER_LEXICON]
+    return spark.createDataFrame(rows, "skeleton string, category string, best string, rabbinic string, variants array<struct<form:string,n:bigint>>")
+
+
+def hebrew_spellings(spark: SparkSession, d: str) -> DataFrame:
+    res = cascade.Resources(_lexicon_with_variants(spark))
+    out = None
+    for ktiv in ("male", "haser"):
+        texts = spark.createDataFrame([(i, _n(x[1])) for i, x in enumerate(SPELLED) if x[0] == ktiv], "id long, text string")
+        vocalized, decided = haser.vocalize(texts, res, ktiv)
+        if ktiv == "male":
+            decided = decided.withColumn("removed", F.lit(None).cast("array<struct<pos:int,vowel:string,letter:string>>"))
+        letters = F.array_join(F.transform(F.coalesce("removed", F.array().cast("array<struct<pos:int,vowel:string,letter:string>>")), lambda r: r["letter"]), "")
+        words = decided.select("id", F.struct("idx", "source", letters.alias("letters")).alias("w")).groupBy("id").agg(F.array_sort(F.collect_list("w")).alias("w"))
+        rows = vocalized.join(words, "id").select("id", F.lit(ktiv).alias("ktiv"), "text", F.array_join(F.transform("w", lambda w: w["source"]), ",").alias("sources"), F.array_join(F.transform("w", lambda w: w["letters"]), "").alias("letters"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+#: (text, expected text, expected sources) with the lexicon and the quotation layer.
+QUOTING = [("בראשית ברא אלהים את השמים", " ".join(QUOTED[0][1].split()[:5]), "quote,quote,quote,quote,quote"), ("ברא אלהים", "ברא אלהים", "unresolved,unresolved"), ("אש: מאימתי קורין את שמע", "אֵשׁ: " + " ".join(QUOTED[1][1].split()[:4]), "lexicon,quote,quote,quote,quote")]
+
+
+def hebrew_engine(spark: SparkSession, d: str) -> DataFrame:
+    src = spark.createDataFrame([(i, _n(x)) for i, x in QUOTED], "span long, text string")
+    forms = text.words(F.col("text"))
+    src = quotes.spans(src, F.transform(forms, text.canonical), F.transform(forms, HEBREW.strip), "span")
+    texts = spark.createDataFrame([(i, _n(x[0])) for i, x in enumerate(QUOTING)], "id long, text string")
+    queries = texts.select("id", F.transform(text.words(F.col("text")), HEBREW.strip).alias("skeletons"))
+    quoted = quotes.quoted_tokens(quotes.matches(queries, quotes.index(src), src), src)
+    res = cascade.engine("lexicon+quotes", cascade.Resources(_lexicon_with_variants(spark), quotes=quoted))
+    decided = cascade.decide(texts, res, HEBREW)
+    sources = decided.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "source"))), lambda x: x["source"]), ",").alias("sources"))
+    return cascade.reassemble(texts, decided, HEBREW).join(sources, "id").select("id", "text", "sources")
+
+
 RUNS = [(["אמר ", "רבי ", "עקיבא"], "אָמַר רַבִּי עֲקִיבָא", ["אָמַר ", "רַבִּי ", "עֲקִיבָא"]), (["של", "ום"], "שָׁלוֹם", ["שָׁל", "וֹם"]), (["שלום", ""], "שָׁלוֹם", ["שָׁלוֹם", ""])]
 
 
@@ -183,7 +232,7 @@ def _quote_rows() -> list[tuple]:
     return [*((1, k, verse[k], 1) for k in range(5)), *((3, 2 + k, mishnah[k], 2) for k in range(4)), *((4, 1 + k, verse[k], 1) for k in range(4))]
 
 
-QUERIES = {f.__name__: f for f in (hebrew_functions, hebrew_matches, hebrew_cascade, hebrew_quotes, hebrew_haser, hebrew_runs, section_refs)}
+QUERIES = {f.__name__: f for f in (hebrew_functions, hebrew_matches, hebrew_cascade, hebrew_quotes, hebrew_haser, hebrew_spellings, hebrew_engine, hebrew_runs, section_refs)}
 
 ORACLE_SQL = {
     "hebrew_functions": _values([(i, f, x) for i, (f, _, x) in enumerate(FIXTURES)], "id, fn, value"),
@@ -191,6 +240,8 @@ ORACLE_SQL = {
     "hebrew_cascade": _values([(i, c[1], c[2]) for i, c in enumerate(CASCADES)], "id, text, sources"),
     "hebrew_quotes": _values(_quote_rows(), "id, idx, form, span_id"),
     "hebrew_haser": _values([(*h, True) for h in HASER], "form, converted, removed, letters, restorable"),
+    "hebrew_spellings": _values([(i, x[0], *x[2:]) for i, x in enumerate(SPELLED)], "id, ktiv, text, sources, letters"),
+    "hebrew_engine": _values([(i, x[1], x[2]) for i, x in enumerate(QUOTING)], "id, text, sources"),
     "hebrew_runs": _values([(i, "|".join(map(_n, r[2]))) for i, r in enumerate(RUNS)], "id, pieces"),
     "section_refs": "select 'Genesis' as book, 'Genesis ' || i as ref from range(1, 4) r(i) union all select 'Berakhot', 'Berakhot ' || x from (values ('2a'), ('2b'), ('3a'), ('3b')) v(x)",
 }

@@ -404,7 +404,7 @@ select runs.id, runs.i as start, runs.i + run as "end", span_id, off from pick j
     "cascade_decisions": f"{DECISIONS} select id, idx, skeleton, form, source, confident, note from dec",
     "cascade_by_source": f"{DECISIONS} select source, count(*) as n from dec group by source",
     "cascade_text": f"{DECISIONS}, {OUTPUT} select id, md5(text) as text_md5 from texts",
-    "identity_check": "select count(*) as texts, 0::bigint as failures from documents where doc_id in (select doc_id from labels)",
+    "identity_check": f"{DECISIONS}, {OUTPUT} select count(*) as texts, sum((strip_accents(d.text) <> strip_accents(texts.text))::int)::bigint as failures from texts join documents d on d.doc_id = texts.id",
     "eval_buckets": f"{MEASURED} select segment, count(*) as words, sum(wrong)::bigint as wrong, sum(slots)::bigint as slots, sum(slot_errors)::bigint as slot_errors, sum(wrong) / count(*) as wer, sum(slot_errors) / sum(slots) as cer from (select *, unnest(list_filter(['overall', case when layer = 'en' then 'english' end, case when layer <> 'en' then 'other' end, case when length(gold) >= 8 then 'long' end], lambda z: z is not null)) as segment from meas) group by segment",
     "eval_confusions": f"{MEASURED} select gold, predicted, count(*) as n from meas where wrong = 1 group by gold, predicted order by n desc, gold, predicted limit 25",
     "eval_contexts": f"{MEASURED} select id, idx, array_to_string(w[greatest(idx - 2, 1) : idx + 4], ' ') as context from meas join gt_w on gt_w.doc_id = meas.id where wrong = 1",
