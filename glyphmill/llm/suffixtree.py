@@ -50,15 +50,18 @@ END = word_hash(b"")
 
 
 class Filter:
-    """A Bloom filter of three bits a key."""
+    """A Bloom filter of three bits a key, all in one word of 64 bits, so that a look costs one place of memory."""
 
-    def __init__(self, bits: np.ndarray) -> None:
-        self.bits = bits
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
 
     @staticmethod
-    def places(keys: np.ndarray, size: int, *which: int) -> list[np.ndarray]:
-        factors = (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-        return [keys.view(np.uint64) * np.uint64(factors[m]) >> np.uint64(64 - size) for m in which or range(3)]
+    def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The word of each key in a filter of 2^size bits, and the key's bits in it."""
+        mixed = keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        one, low = np.uint64(1), np.uint64(63)
+        bits = one << (mixed >> np.uint64(6) & low) | one << (mixed >> np.uint64(12) & low) | one << (mixed >> np.uint64(18) & low)
+        return (mixed * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(70 - size)).view(np.int64), bits
 
     @classmethod
     def of(cls, keys: DataFrame, n: int) -> Filter:
@@ -68,28 +71,20 @@ class Filter:
         def run(batches):  # noqa: ANN001, ANN202
             import pyarrow as pa
 
-            bits = np.zeros(1 << size >> 3, np.uint8)
+            words = np.zeros(1 << size - 6, np.uint64)
             for batch in batches:
-                for at in cls.places(batch.column(0).to_numpy(zero_copy_only=False), size):
-                    np.bitwise_or.at(bits, at >> np.uint64(3), (128 >> (at & np.uint64(7))).astype(np.uint8))
-            yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], ["bits"])
+                at, bits = cls.places(batch.column(0).to_numpy(zero_copy_only=False), size)
+                np.bitwise_or.at(words, at, bits)
+            yield pa.RecordBatch.from_arrays([pa.array([words.tobytes()], pa.binary())], ["bits"])
 
-        out = np.zeros(1 << size >> 3, np.uint8)
+        out = np.zeros(1 << size - 6, np.uint64)
         for row in keys.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator():
-            out |= np.frombuffer(row[0], np.uint8)
+            out |= np.frombuffer(row[0], np.uint64)
         return cls(out)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        """The second and third bit are only looked up where the ones before are set."""
-        size = len(self.bits).bit_length() + 2
-        out = np.zeros(len(keys), bool)
-        alive, left = np.arange(len(keys)), keys
-        for m in range(3):
-            at = self.places(left, size, m)[0]
-            ok = (self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
-            alive, left = alive[ok], left[ok]
-        out[alive] = True
-        return out
+        at, bits = self.places(keys, len(self.words).bit_length() + 5)
+        return self.words[at] & bits == bits
 
 
 class Values:
@@ -369,10 +364,12 @@ class Found:
     """Values of keys from the broadcast cache (NaN: not there), and which of the others the tree may have: these are asked for."""
 
     def __init__(self, keys: np.ndarray, shared) -> None:  # noqa: ANN001
-        self.values = shared["cache"].get(keys)
-        at = np.flatnonzero(np.isnan(self.values))
-        self.open = at[shared["known"].has(keys[at])]
-        self.keys = keys[self.open]
+        self.values = np.full(len(keys), np.nan)
+        at = np.flatnonzero(shared["known"].has(keys))
+        known = keys[at]
+        values = self.values[at] = shared["cache"].get(known)
+        left = np.isnan(values)
+        self.open, self.keys = at[left], known[left]
 
     def may(self) -> np.ndarray:
         out = ~np.isnan(self.values)
