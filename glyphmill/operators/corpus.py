@@ -49,12 +49,14 @@ def statistics(corpus: DataFrame) -> DataFrame:
 
 
 def tokens(rows: DataFrame, profile: ScriptProfile, *keys: str, text: str = "text") -> DataFrame:
-    """keys, idx, form, skeleton, prev, next, acronym. Neighbours come from the row's own array, so there is no window and no shuffle."""
-    forms = words(F.col(text), profile)
-    rows = rows.select(*keys, forms.alias("w")).withColumn("s", F.transform("w", profile.strip))
-    at = lambda i: F.try_element_at(F.col("s"), i)
-    items = F.transform(F.col("w"), lambda f, i: F.struct(f.alias("form"), F.element_at("s", i + 1).alias("skeleton"), F.when(i > 0, at(F.greatest(i, F.lit(1)))).otherwise(START).alias("prev"), at(i + 2).alias("next")))
-    out = rows.select(*keys, F.posexplode(items).alias("idx", "t")).select(*keys, "idx", "t.*")
+    """keys, idx, form, skeleton, prev, next, acronym. Neighbours come from the row's own array, so there is no window and no shuffle.
+
+    Marks stand inside words only where they belong to them, so the words of the stripped text are the stripped words, in the same places.
+    """
+    rows = rows.select(*keys, words(F.col(text), profile).alias("form"), words(profile.strip(F.col(text)), profile).alias("skeleton"))
+    n = F.size("form")
+    rows = rows.select(*keys, "form", "skeleton", F.slice(F.concat(F.array(F.lit(START)), "skeleton"), F.lit(1), n).alias("prev"), F.slice("skeleton", F.lit(2), n).alias("next"))
+    out = rows.select(*keys, F.posexplode(F.arrays_zip("form", "skeleton", "prev", "next")).alias("idx", "t")).select(*keys, "idx", "t.*")
     return out.withColumn("acronym", is_acronym(F.col("form")) if profile is HEBREW else F.lit(False))
 
 

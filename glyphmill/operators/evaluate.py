@@ -49,7 +49,9 @@ def buckets(rows: DataFrame, flags: dict[str, Column]) -> DataFrame:
 
 
 def confusions(rows: DataFrame, most: int = 25) -> DataFrame:
-    return rows.where("wrong = 1 and not failed").groupBy("gold", "predicted").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gold", "predicted").limit(most)
+    """The most frequent wrong pairs; of equally frequent ones those seen first, in order of texts and places."""
+    pairs = rows.where("wrong = 1 and not failed").groupBy("gold", "predicted").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "idx")).alias("first"))
+    return pairs.orderBy(F.desc("n"), "first").limit(most).drop("first")
 
 
 def context(words_: Column, i: Column, around: int) -> Column:

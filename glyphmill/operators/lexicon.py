@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import NAME_TRIGGERS
+from ..sources.store import stored
 
 RATIO, LEAST, BIGRAM_LEAST, BIGRAM_RATIO, VARIANTS, REVIEW_ROWS = 0.98, 3, 2, 0.80, 6, 5000
 RABBINIC = ("mishnaic", "aramaic", "liturgy")
@@ -51,13 +52,13 @@ def bigram_decisions(tokens: DataFrame, *place: str) -> DataFrame:
 
 
 def entries(counts: DataFrame, decisions: DataFrame, least: int = 1) -> DataFrame:
-    """(skeleton, category, best, count, ratio, variants)."""
-    by = counts.groupBy("skeleton").agg(F.sum("n").alias("count"), F.max("n").alias("most"), _best(F.col("first")).alias("best"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "first", "form"))).alias("v"))
+    """(skeleton, category, best, count, ratio, variants, first): first is the skeleton's least place, which breaks ties of count."""
+    by = counts.groupBy("skeleton").agg(F.sum("n").alias("count"), F.max("n").alias("most"), F.min("first").alias("first"), _best(F.col("first")).alias("best"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "first", "form"))).alias("v"))
     by = by.where(F.col("count") >= least).withColumn("ratio", F.col("most") / F.col("count"))
     resolvable = decisions.select("skeleton").distinct().withColumn("resolvable", F.lit(True))
     category = F.when((F.col("ratio") >= RATIO) & (F.col("count") >= LEAST), "unambiguous").when(F.coalesce("resolvable", F.lit(False)), "context").otherwise("ambiguous")
     variants = F.transform(F.slice("v", 1, VARIANTS), lambda x: F.struct(x["form"].alias("form"), (-x["k"]).alias("n")))
-    return by.join(resolvable, "skeleton", "left").select("skeleton", category.alias("category"), "best", "count", "ratio", variants.alias("variants"))
+    return by.join(resolvable, "skeleton", "left").select("skeleton", category.alias("category"), "best", "count", "ratio", variants.alias("variants"), "first")
 
 
 def preferred_of(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -69,11 +70,11 @@ def preferred_of(counts: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def build(tokens: DataFrame, *place: str, layers: tuple[str, ...] = RABBINIC, least: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(lexicon, bigrams): the bigrams whose target isn't unambiguous. Counts and decisions sum up the same pairs, so the heavy grouping of tokens is one."""
-    pairs = pair_counts(tokens, *place, layers=layers)
+    """(lexicon, bigrams): the bigrams whose target isn't unambiguous. Counts and decisions sum up the same pairs, which are stored, so tokens are read and grouped once."""
+    pairs = stored(pair_counts(tokens, *place, layers=layers))
     counts, decisions = counts_of(pairs), decisions_of(pairs)
     lex = entries(counts, decisions, least)
-    lex = lex.join(preferred_of(counts, lex), "skeleton", "left")
+    lex = stored(lex.join(preferred_of(counts, lex), "skeleton", "left"))
     bigrams = decisions.join(lex.where("category != 'unambiguous'").select("skeleton"), "skeleton", "left_semi")
     return lex, bigrams.select("prev", "skeleton", "form")
 
@@ -89,7 +90,8 @@ def names(tokens: DataFrame, triggers: list[str] | None = None, least: int = 2)
 
 
 def review_queue(lexicon: DataFrame, rows: int = REVIEW_ROWS) -> DataFrame:
-    return lexicon.where("category = 'ambiguous'").orderBy(F.desc("count"), "skeleton").limit(rows).select("skeleton", "count", "variants")
+    """The ambiguous entries with the most occurrences; of equal ones those seen first."""
+    return lexicon.where("category = 'ambiguous'").orderBy(F.desc("count"), "first", "skeleton").limit(rows).select("skeleton", "count", "variants")
 
 
 def homograph_skeletons(lexicon: DataFrame) -> DataFrame:

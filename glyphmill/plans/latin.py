@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, clean, text
 from ..operators import cascade, corpus, evaluate, lexicon, quotes, review, runs
 from ..profile import LATIN
-from ..sources import tables
+from ..sources import store, tables
 
 MARKERS = ["the", "of", "and", "that", "les", "des"]
 TRIGGERS = ["the", "der", "el", "le"]
@@ -24,7 +24,8 @@ OVERRIDES = [("*", "er", "ér"), ("*", "on", "onx"), ("12", "er", "er"), ("28",
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return store.spread(rows, "doc_id") if name == "documents" else rows
 
 
 def sections(spark: SparkSession, d: str) -> DataFrame:
@@ -37,9 +38,10 @@ def held_out(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_tokens(docs: DataFrame) -> DataFrame:
-    """Tokens with `at`, the document's id and the word's number in one long: 2^39 documents of 2^24 words."""
+    """Tokens with `at`, the document's id and the word's number in one long. Ids beyond 2^39 and texts beyond 2^24 words fail; lexicon operators take (doc_id, idx) as their place for those."""
     t = corpus.tokens(docs.withColumn("layer", F.col("lang")), LATIN, "doc_id", "layer")
-    return t.withColumn("at", F.shiftleft("doc_id", 24) + F.col("idx"))
+    fits = F.col("doc_id").between(-(1 << 39), (1 << 39) - 1) & (F.col("idx") < 1 << 24)
+    return t.withColumn("at", F.when(fits, F.shiftleft("doc_id", 24) + F.col("idx")).otherwise(F.raise_error(F.lit("an id or a word's number does not fit into one long")).cast("long")))
 
 
 PLACE = ("at",)
@@ -59,8 +61,8 @@ def lexicon_sql(tok: str = "tok") -> str:
 pairs as (select prev, skeleton, form, count(*) as n, min(struct_pack(doc_id := doc_id, idx := idx)) as first from {tok} group by all),
 decided as (select prev, skeleton, arg_min(form, struct_pack(k := -n, first := first)) as form from pairs group by prev, skeleton having sum(n) >= 2 and max(n) / sum(n) >= 0.80),
 resolvable as (select distinct skeleton from decided),
-by_skeleton as (select skeleton, sum(n)::bigint as count, max(n) as most, arg_min(form, struct_pack(k := -n, first := first)) as best from counts group by skeleton),
-entries as (select skeleton, case when most / count >= 0.98 and count >= 3 then 'unambiguous' when r.skeleton is not null then 'context' else 'ambiguous' end as category, best, count, most
+by_skeleton as (select skeleton, sum(n)::bigint as count, min(first) as seen, max(n) as most, arg_min(form, struct_pack(k := -n, first := first)) as best from counts group by skeleton),
+entries as (select skeleton, case when most / count >= 0.98 and count >= 3 then 'unambiguous' when r.skeleton is not null then 'context' else 'ambiguous' end as category, best, count, most, seen
   from by_skeleton left join resolvable r using (skeleton)),
 inside as (select skeleton, form, count(*) as n, min(struct_pack(doc_id := doc_id, idx := idx)) as first from {tok} where layer in ('en', 'fr') group by all),
 preferred as (select i.skeleton, i.form as rabbinic from (select skeleton, arg_min(form, struct_pack(k := -n, first := first)) as form from inside group by skeleton having sum(n) >= 3 and max(n) / sum(n) >= 0.98) i join entries e using (skeleton) where i.form <> e.best),
@@ -192,7 +194,7 @@ def lexicon_forms(spark, d):  # noqa: ANN001, ANN201
 
 
 def _built(spark, d):  # noqa: ANN001, ANN202
-    pairs = lexicon.pair_counts(doc_tokens(_table(spark, d, "documents")), *PLACE, layers=LAYERS)
+    pairs = store.stored(lexicon.pair_counts(doc_tokens(_table(spark, d, "documents")), *PLACE, layers=LAYERS))
     counts = lexicon.counts_of(pairs)
     return counts, lexicon.entries(counts, lexicon.decisions_of(pairs))
 
@@ -392,7 +394,7 @@ ORACLE_SQL = {
     "bigram_table": f"{TOK}, {lexicon_sql()} select prev, skeleton, form from bigrams",
     "preferred_forms": f"{TOK}, {lexicon_sql()} select skeleton, rabbinic from preferred",
     "names": f"{TOK} select skeleton, count(*) as n from tok where prev in ('the', 'der', 'el', 'le') and skeleton not in ('the', 'der', 'el', 'le') group by skeleton having count(*) >= 2",
-    "review_queue": f"{TOK}, {lexicon_sql()} select skeleton, count, n_variants from (select skeleton, count, (select least(count(*), 6) from counts c where c.skeleton = entries.skeleton) as n_variants from entries where category = 'ambiguous' order by count desc, skeleton limit 5000)",
+    "review_queue": f"{TOK}, {lexicon_sql()} select skeleton, count, n_variants from (select skeleton, count, (select least(count(*), 6) from counts c where c.skeleton = entries.skeleton) as n_variants from entries where category = 'ambiguous' order by count desc, seen limit 5000)",
     "layer_sizes": f"{TOK} select layer, count(distinct skeleton) as skeletons, count(*) as tokens from tok group by layer",
     "quote_index": f"with {QUOTES} select key, span_id, off from idx",
     "quote_collisions": f"with s as (select list_transform(regexp_extract_all(text, '{W}'), lambda z: lower(z)) as f from documents), g as (select array_to_string(list_transform(f[o + 1 : o + 4], lambda z: strip_accents(z)), ' ') as key, array_to_string(f[o + 1 : o + 4], ' ') as ff from s, lateral (select unnest(range(len(f) - 3)) as o) where len(f) >= 4) select key, count(distinct ff) as n_forms from g group by key having count(distinct ff) > 1",
@@ -406,7 +408,7 @@ select runs.id, runs.i as start, runs.i + run as "end", span_id, off from pick j
     "cascade_text": f"{DECISIONS}, {OUTPUT} select id, md5(text) as text_md5 from texts",
     "identity_check": f"{DECISIONS}, {OUTPUT} select count(*) as texts, sum((strip_accents(d.text) <> strip_accents(texts.text))::int)::bigint as failures from texts join documents d on d.doc_id = texts.id",
     "eval_buckets": f"{MEASURED} select segment, count(*) as words, sum(wrong)::bigint as wrong, sum(slots)::bigint as slots, sum(slot_errors)::bigint as slot_errors, sum(wrong) / count(*) as wer, sum(slot_errors) / sum(slots) as cer from (select *, unnest(list_filter(['overall', case when layer = 'en' then 'english' end, case when layer <> 'en' then 'other' end, case when length(gold) >= 8 then 'long' end], lambda z: z is not null)) as segment from meas) group by segment",
-    "eval_confusions": f"{MEASURED} select gold, predicted, count(*) as n from meas where wrong = 1 group by gold, predicted order by n desc, gold, predicted limit 25",
+    "eval_confusions": f"{MEASURED} select gold, predicted, count(*) as n from meas where wrong = 1 group by gold, predicted order by n desc, min(struct_pack(a := id, b := idx)) limit 25",
     "eval_contexts": f"{MEASURED} select id, idx, array_to_string(w[greatest(idx - 2, 1) : idx + 4], ' ') as context from meas join gt_w on gt_w.doc_id = meas.id where wrong = 1",
     "review_contexts": f"{DECISIONS} select skeleton, id as paragraph, idx as position, array_to_string(w[greatest(idx - 4, 1) : idx + 6], ' ') as context from (select *, row_number() over (partition by skeleton order by id, idx) as r from dec where not confident) x join pt_w on pt_w.doc_id = x.id where r <= 3",
     "correction_run": f"with {RULES}, conv as (select conv_id || '/' || turn as doc_id, '' as lang, text from conversations), {tok_sql('conv')}, ans as (select form as old, coalesce(nullif(o.form, ''), r.fixed, r.aft[t.prev], r.bef[t.next], r.dflt) as new, t.skeleton from (select * from tok) t left join rules r on r.skeleton = t.skeleton left join (select skeleton as sk, form from ov where scope = '*') o on o.sk = t.skeleton) select old, new, count(*) as n from ans where new is not null and strip_accents(new) = skeleton and old <> new group by old, new order by n desc, old, new limit 60".replace("select form as old", "select t.form as old"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,9 +33,12 @@ YOD, VAV, TAV = "י", "ו", "ת"
 BEGADKEFAT = "בגדכפת"
 PREFIXES = "והבכלמש"
 LIGATURES = {"װ": "וו", "ױ": "וי", "ײ": "יי"}
-ACCENTED, PLAIN = "éóèñçüêäöíÉÈÑÓÇÄÊÜÖÍ", "eoencueaoiEENOCAEUOI"
 LATIN_LETTERS = "A-Za-z\\u00C0-\\u00D6\\u00D8-\\u00F6\\u00F8-\\u00FF"
 
+# The accented letters of U+00C0 to U+00FF are those that Unicode decomposes.
+ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x100)) if len(unicodedata.normalize("NFD", c)) > 1)
+PLAIN = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
+
 HEBREW = ScriptProfile(
     name="hebrew",
     token=f"[{LETTERS}][{TOKEN_REST}]*",

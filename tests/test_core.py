@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glyphmill.functions import clean, spelling, text
 from glyphmill.operators import cascade, corpus, evaluate, lexicon, model, quotes, review, runs
 from glyphmill.plans import hebrew, latin
-from glyphmill.profile import LATIN
+from glyphmill.profile import HEBREW, LATIN
 from glyphmill.sources import tables
 from glyphmill.streaming import ingest
 
@@ -169,3 +169,29 @@ def test_sources(spark):
     assert _one(spark, F.lit(1)) == 1
     n = spark.createDataFrame([([["a", " "], ["b"]],)], "x array<array<string>>")
     assert n.select(tables.flatten_text("x", 2)).first()[0] == ["a", "b"]
+
+
+def test_latin_strip_covers_every_decomposable_letter(spark):
+    rows = spark.createDataFrame([("àÀôÔúßØæ", "aAoOußØæ"), (None, None), ("", "")], "t string, want string")
+    for r in rows.select(LATIN.strip(F.col("t")).alias("got"), "want").collect():
+        assert r.got == r.want
+
+
+def test_tokens_neighbours_and_stray_marks(spark):
+    rows = spark.createDataFrame([(1, " ְאָב בֵּן ־ ג"), (2, ""), (3, None), (4, "ד")], "id long, text string")
+    got = {(r.id, r.idx): (r.form, r.skeleton, r.prev, r.next) for r in corpus.tokens(rows, HEBREW, "id").collect()}
+    assert got == {(1, 0): ("אָב", "אב", "<s>", "בן"), (1, 1): ("בֵּן", "בן", "אב", "ג"), (1, 2): ("ג", "ג", "בן", None), (4, 0): ("ד", "ד", "<s>", None)}
+
+
+def test_ids_beyond_one_long_fail(spark):
+    from glyphmill.plans.latin import doc_tokens
+
+    big = spark.createDataFrame([(1 << 39, "en", "a b")], "doc_id long, lang string, text string")
+    with pytest.raises(Exception, match="does not fit"):
+        doc_tokens(big).select("at").collect()
+
+
+def test_equal_counts_go_by_first_place(spark):
+    t = corpus.tokens(spark.createDataFrame([(1, "b á a b á a")], "id long, text string").withColumn("layer", F.lit("en")), LATIN, "id", "layer")
+    lex, _ = lexicon.build(t.withColumn("at", F.col("idx").cast("long")), "at")
+    assert [r.first for r in lex.orderBy("first").collect()] == [0, 1]
