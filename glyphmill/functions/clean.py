@@ -23,7 +23,8 @@ def clean_line(text: Column, latin: bool = True) -> Column:
 def sentences(text: Column, profile: ScriptProfile = HEBREW, least: int = 3, most: int = 60) -> Column:
     """Sentences of at least `least` words. Longer ones than `most` are cut behind commas as soon as `most` words are gathered; shorter rests are dropped."""
     count = lambda t: F.size(words(t, profile))
-    chunks = F.filter(F.transform(F.split(text, profile.sentence_end, -1), F.trim), lambda c: count(c) >= least)
+    # A bare F.trim would get a chunk's number as the characters to trim.
+    chunks = F.filter(F.transform(F.split(text, profile.sentence_end, -1), lambda c: F.trim(c)), lambda c: count(c) >= least)
 
     def chop(chunk: Column) -> Column:
         start = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("buf"), F.lit(0).alias("n"))

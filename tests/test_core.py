@@ -195,3 +195,7 @@ def test_equal_counts_go_by_first_place(spark):
     t = corpus.tokens(spark.createDataFrame([(1, "b á a b á a")], "id long, text string").withColumn("layer", F.lit("en")), LATIN, "id", "layer")
     lex, _ = lexicon.build(t.withColumn("at", F.col("idx").cast("long")), "at")
     assert [r.first for r in lex.orderBy("first").collect()] == [0, 1]
+
+
+def test_sentences_keep_digits_that_equal_their_number(spark):
+    assert _one(spark, clean.sentences(F.col("t"), LATIN), t="0 aa bb cc. 1 aa bb cc. Aa. 3 aa bb cc 3") == ["0 aa bb cc.", "1 aa bb cc.", "3 aa bb cc 3"]
