@@ -199,3 +199,9 @@ def test_equal_counts_go_by_first_place(spark):
 
 def test_sentences_keep_digits_that_equal_their_number(spark):
     assert _one(spark, clean.sentences(F.col("t"), LATIN), t="0 aa bb cc. 1 aa bb cc. Aa. 3 aa bb cc 3") == ["0 aa bb cc.", "1 aa bb cc.", "3 aa bb cc 3"]
+
+
+def test_numbered_copies_are_one_sentence(spark):
+    rows = spark.createDataFrame([(1, "r", "s", "l", "1", "ok", ["0 aa bb cc. 0 aa bb cc.", "1 aa bb cc. 1 aa bb cc."])], tables.SECTIONS)
+    got = corpus.build_corpus(rows, None, LATIN).orderBy("line_idx").collect()
+    assert [(r.line_idx, r.sent_idx, r.text) for r in got] == [(0, 0, "0 aa bb cc."), (1, 0, "1 aa bb cc.")]
