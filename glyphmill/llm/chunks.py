@@ -55,14 +55,26 @@ def spaced(text: str) -> list[str]:
 
 
 class PieceTable[V]:
-    """piece -> value for at most `limit` pieces of `chars` characters together; then it starts anew, so memory stays constant. Pieces beyond LONGEST are never kept."""
+    """piece -> value for at most `limit` pieces of `chars` characters together; then it starts anew, so memory stays constant. Pieces beyond LONGEST are never kept.
+
+    Spark keeps its Python workers from one operator to the next, so only the table in use holds pieces: another one gives up its own.
+    """
 
     LONGEST = 256
+    in_use: PieceTable | None = None
 
     def __init__(self, compute: Callable[[list[str]], list[V]], limit: int = 500_000, chars: int = 16_000_000, batch_bytes: int = 1 << 18) -> None:
         self.compute, self.limit, self.chars, self.batch_bytes, self.known, self.size = compute, limit, chars, batch_bytes, {}, 0
 
+    def clear(self) -> None:
+        self.known.clear()
+        self.size = 0
+
     def values(self, pieces: list[str]) -> list[V]:
+        if PieceTable.in_use is not self:
+            if PieceTable.in_use is not None:
+                PieceTable.in_use.clear()
+            PieceTable.in_use = self
         known = self.known
         found = list(map(known.get, pieces))
         if None in found:
@@ -74,8 +86,7 @@ class PieceTable[V]:
             kept = [p for p in new if len(p) <= self.LONGEST]
             size = sum(map(len, kept))
             if len(known) + len(kept) > self.limit or self.size + size > self.chars:
-                known.clear()
-                self.size = 0
+                self.clear()
             known.update((p, fresh[p]) for p in kept)
             self.size += size
         return found

@@ -77,3 +77,10 @@ def test_malformed_images_are_null(spark):
             media.decode(data)
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate([*bad, grey])], "k long, m binary")
     assert [r["k"] for r in media.decode_column(df, "k", "m").where("height is not null").collect()] == [len(bad)]
+
+
+def test_only_the_piece_table_in_use_holds_pieces():
+    one, other = (chunks.PieceTable(lambda batch: [len(p) for p in batch]) for _ in range(2))
+    assert one.values(["a", "bb"]) == [1, 2] and other.values(["ccc"]) == [3]
+    assert not one.known and not one.size and len(other.known) == 1
+    assert one.values(["bb"]) == [2] and not other.known and len(one.known) == 1
