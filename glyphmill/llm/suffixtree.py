@@ -31,6 +31,10 @@ FOLDS, HELD_OUT = 5, 1
 CACHE = 1_000_000
 LEAST_CONTEXT = 8
 FILTER_BITS = 28
+#: Of the filter of the last length's pairs, which only spares sending pairs that occur once.
+SEEN_BITS = 26
+#: Up to this length all frequent contexts are followed, as they begin longer ones; beyond it those behind a state.
+CHAIN = 3
 DISCOUNT = 0.75
 GROUP_CHARS = 4_000_000
 PART_PLACES = 2_000_000
@@ -64,16 +68,17 @@ class Filter:
         return (mixed * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(70 - size)).view(np.int64), bits
 
     @classmethod
-    def of(cls, keys: DataFrame, n: int) -> Filter:
-        """Of one column of n longs, 2^FILTER_BITS bits at most; built in tasks, of which a few partial filters reach the driver one by one."""
-        size = min(FILTER_BITS, max(16, (16 * n).bit_length()))
+    def of(cls, keys: DataFrame, n: int, most: int = 64) -> Filter:
+        """Of n keys, one column of longs or the two of pairs, 2^FILTER_BITS or 2^most bits at most; built in tasks, of which a few partial filters reach the driver one by one."""
+        size = min(FILTER_BITS, most, max(16, (16 * n).bit_length()))
 
         def run(batches):  # noqa: ANN001, ANN202
             import pyarrow as pa
 
             words = np.zeros(1 << size - 6, np.uint64)
             for batch in batches:
-                at, bits = cls.places(batch.column(0).to_numpy(zero_copy_only=False), size)
+                key, *nxt = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                at, bits = cls.places(key * POWER + nxt[0] if nxt else key, size)
                 np.bitwise_or.at(words, at, bits)
             yield pa.RecordBatch.from_arrays([pa.array([words.tobytes()], pa.binary())], ["bits"])
 
@@ -139,6 +144,10 @@ class Group:
             power = power * POWER
             yield out
 
+    def ends(self, *lengths: int) -> list[np.ndarray]:
+        """contexts() of some lengths, in ascending order."""
+        return [c.copy() for n, c in enumerate(self.contexts(lengths[-1]), 1) for x in lengths if x == n]
+
 
 GROUP_SCHEMA = "group long, ids array<long>, train binary, sizes binary, words binary, low binary, high binary"
 
@@ -223,8 +232,8 @@ def _undealt(blocks: list[bytes], *types: str) -> list[np.ndarray]:
     return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, types, strict=True)]
 
 
-def _counted(groups: DataFrame, pairs_of, least: int, parts: int) -> DataFrame:  # noqa: ANN001
-    """(a, b, count) for those of the pairs whose counts by pairs_of(group) sum to at least `least`.
+def _counted(groups: DataFrame, pairs_of, least: tuple[int, ...], parts: int) -> DataFrame:  # noqa: ANN001
+    """(kind, a, b, count) for those of the pairs whose counts sum to at least `least` of their kind; pairs_of(group) gives a, b and counts of each kind.
 
     A group sends one block for each of `parts` hash classes that it has; rows of their own would cost the JVM far more. `parts` follows
     the number of words, so what meets in one place is bounded; a frequent context's pairs lie in all classes.
@@ -234,24 +243,24 @@ def _counted(groups: DataFrame, pairs_of, least: int, parts: int) -> DataFrame:
         import pyarrow as pa
 
         for g in _each(batches):
-            a, b, n = pairs_of(g)
-            rows = list(zip(*_dealt(part_of(a * POWER + b, parts), parts, a, b, n.astype("<u4")), strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary())], ["part", "block"])
+            rows = [(kind * parts + part, block) for kind, (a, b, n) in enumerate(pairs_of(g)) for part, block in _dealt(part_of(a * POWER + b, parts), parts, a, b, n.astype("<u4"))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
 
     def add(rows):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
+        kind = rows["part"][0].as_py() // parts
         a, b, n = _undealt(rows["block"].to_pylist(), "<i8", "<i8", "<u4")
         key = a * POWER + b
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sums = np.add.reduceat(n[order].astype(np.int64), first)
-        ok = sums >= least
+        ok = sums >= least[kind]
         at = order[first[ok]]
-        return pa.table({"a": a[at], "b": b[at], "count": sums[ok]})
+        return pa.table({"kind": np.full(len(at), kind, np.int32), "a": a[at], "b": b[at], "count": sums[ok]})
 
-    return groups.mapInArrow(deal, "part long, block binary").groupBy("part").applyInArrow(add, "a long, b long, count long")
+    return groups.mapInArrow(deal, "part long, block binary").groupBy("part").applyInArrow(add, "kind int, a long, b long, count long")
 
 
 def word_counts(groups: DataFrame, parts: int) -> DataFrame:
@@ -259,30 +268,51 @@ def word_counts(groups: DataFrame, parts: int) -> DataFrame:
 
     def words(g: Group):  # noqa: ANN202
         n = np.bincount(g.codes[np.repeat(g.train, g.sizes)], minlength=len(g.words))
-        return np.zeros(np.count_nonzero(n), np.int64), g.words[n > 0], n[n > 0]
+        return [(np.zeros(np.count_nonzero(n), np.int64), g.words[n > 0], n[n > 0])]
 
-    return _counted(groups, words, 1, parts).select(F.col("b").alias("word"), "count")
+    return _counted(groups, words, (1,), parts).select(F.col("b").alias("word"), "count")
 
 
 def pair_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame:  # noqa: ANN001
-    """(context, next, count) by hashes, for pairs that occur twice, of contexts of one length and next words that the filters have."""
+    """(context, next, count) by hashes, for pairs that occur twice, of contexts of one length and next words that the filters have.
+
+    Beyond length 1 the pair of the suffix must occur twice too, so that most pairs that occur once are never sent.
+    """
 
     def pairs(g: Group):  # noqa: ANN202
         contexts, twice = shared.value["contexts"], shared.value["twice"].has(g.words)
         ok = (g.place >= depth) & twice[g.codes] & np.repeat(g.train, g.sizes)
         if depth == 1:  # a context is a word of the group
-            at = np.flatnonzero(ok[1:] & contexts.has(g.words)[g.codes[:-1]])
-            before = g.codes[at].astype(np.int64)
+            at = np.flatnonzero(ok[1:] & contexts.has(g.words)[g.codes[:-1]]) + 1
+            names, before = g.words, g.codes[at - 1].astype(np.int64)
         else:
-            *_, context = g.contexts(depth)
+            suffix, context = g.ends(depth - 1, depth)
             at = np.flatnonzero(ok)
             at = at[contexts.has(context[at])]
+            at = at[shared.value["seen"].has(suffix[at] * POWER + g.hashes[at])]
             names, before = np.unique(context[at], return_inverse=True)
-            at -= 1
-        pair, n = np.unique(before << 32 | g.codes[at + 1], return_counts=True)
-        return (g.words if depth == 1 else names)[pair >> 32], g.words[pair & 0xFFFFFFFF], n
+        pair, n = np.unique(before << 32 | g.codes[at], return_counts=True)
+        return [(names[pair >> 32], g.words[pair & 0xFFFFFFFF], n)]
 
-    return _counted(groups, pairs, 2, parts).toDF("context", "next", "count")
+    return _counted(groups, pairs, (2,), parts).select(F.col("a").alias("context"), F.col("b").alias("next"), "count")
+
+
+def state_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame:  # noqa: ANN001
+    """(kind, a, b, count) beyond length CHAIN. Kind 0: contexts one word longer than a state, with that state as suffix, which occur LEAST_CONTEXT times;
+    kind 1: their pairs that occur twice. Contexts behind which no state can come, such as those of long copied passages, are never sent."""
+
+    def pairs(g: Group):  # noqa: ANN202
+        start, suffix, context = g.ends(CHAIN, depth - 1, depth)
+        at = np.flatnonzero((g.place >= depth) & np.repeat(g.train, g.sizes))
+        at = at[shared.value["states"].has(suffix[at])]
+        at = at[shared.value["starts"].has(start[at - depth + CHAIN])]  # a part of a frequent context is frequent
+        suffix = suffix[at]
+        names, first, before, total = np.unique(context[at], return_index=True, return_inverse=True, return_counts=True)
+        ok = shared.value["seen"].has(suffix * POWER + g.hashes[at])
+        pair, n = np.unique(before[ok] << 32 | g.codes[at[ok]], return_counts=True)
+        return [(names, suffix[first], total), (names[pair >> 32], g.words[pair & 0xFFFFFFFF], n)]
+
+    return _counted(groups, pairs, (LEAST_CONTEXT, 2), parts)
 
 
 def _longer(pairs: DataFrame) -> DataFrame:
@@ -321,12 +351,21 @@ def grow(groups: DataFrame, counts: DataFrame, tokens: int, total: float, parts:
     twice = Filter.of(often.select("next"), often.count())
     below, on = often, ["next"]
     tables: list[DataFrame] = []
-    depth = 0
-    while n := contexts.count():
-        shared = spark.sparkContext.broadcast({"contexts": Filter.of(contexts.select("context"), n), "twice": twice})
-        found = pair_counts(groups, shared, depth + 1, parts)
+    depth, seen, starts, state = 0, None, None, None
+    small = lambda rows: rows.hint("shuffle_hash")  # noqa: E731  fewer rows than the pairs, one for each key: these need no sort
+    while True:
+        if depth < CHAIN:
+            if not (n := contexts.count()):
+                break
+            shared = spark.sparkContext.broadcast({"contexts": Filter.of(contexts.select("context"), n), "twice": twice, "seen": seen})
+            found = pair_counts(groups, shared, depth + 1, parts)
+        else:
+            shared = spark.sparkContext.broadcast({"states": Filter.of(state.select("context"), state.count()), "starts": starts, "seen": seen})
+            both = stored(state_counts(groups, shared, depth + 1, parts))
+            contexts = both.where("kind = 0").select(F.col("a").alias("context"), F.col("b").alias("suffix"), F.col("count").alias("total"))
+            found = both.where("kind = 1").select(F.col("a").alias("context"), F.col("b").alias("next"), "count")
         # Pairs behind a suffix that is no state have no `below`: they only lead to longer contexts.
-        pairs = stored(found.join(below, on, "left").join(contexts, "context") if depth == 0 else found.join(contexts, "context").join(below, on, "left"))
+        pairs = stored(found.join(small(below), on, "left").join(small(contexts), "context") if depth == 0 else found.join(small(contexts), "context").join(small(below), on, "left" if depth + 1 < CHAIN else "inner"))
         shared.destroy()
         share = (F.col("count") - DISCOUNT) / F.col("total")
         gain = F.col("count") * F.log(share / F.col("below"))
@@ -339,10 +378,15 @@ def grow(groups: DataFrame, counts: DataFrame, tokens: int, total: float, parts:
             break
         depth += 1
         tables.append(state.select(F.col("context").alias("key"), F.col("left").alias("value"), F.col("total").alias("weight")))
-        tables.append(_pair_keys(telling.join(state.select("context"), "context", "left_semi")))
+        tables.append(_pair_keys(telling.join(small(state.select("context")), "context", "left_semi")))
         p = F.when(gain >= cost, share).otherwise(0.0) + F.col("left") * F.col("below")
-        below, on = pairs.join(state.select("context", "left"), "context").select(F.col("context").alias("suffix"), "next", p.alias("below")), ["suffix", "next"]
-        contexts = stored(_longer(pairs))
+        below, on = pairs.join(small(state.select("context", "left")), "context").select(F.col("context").alias("suffix"), "next", p.alias("below")), ["suffix", "next"]
+        if depth < CHAIN:
+            contexts = stored(_longer(pairs))
+            if depth + 1 == CHAIN:
+                starts = Filter.of(contexts.select("context"), contexts.count())
+                contexts = contexts.join(state.select(F.col("context").alias("suffix")), "suffix", "left_semi")
+        seen = Filter.of(pairs.select("context", "next"), pairs.count(), SEEN_BITS)
         release(spark)
     return tables, depth
 

@@ -109,3 +109,26 @@ def test_odd_texts(spark):
     out = suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string, score long")).collect()
     assert sorted(((r["doc_id"] or 0, r["n_tokens"]) for r in out)) == [(0, 3), (1, 200_001), (2, 1), (2, 1), (2, 1), (3, 4)]
     assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in out)
+
+
+def test_copied_passages_add_no_longer_contexts(spark, monkeypatch):
+    """Beyond a few words, what has no state as suffix can't become a state, however often it occurs, and isn't gathered."""
+    lost, stored = [], suffixtree.stored
+
+    def noted(df):
+        out = stored(df)
+        if "below" in out.columns:
+            lost.append(out.where("below is null").count())
+        return out
+
+    monkeypatch.setattr(suffixtree, "stored", noted)
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    passage = " ".join(r.choice(words) for _ in range(400))
+    texts = [(i, passage if i % 4 == 0 else " ".join(r.choice(words) for _ in range(200))) for i in range(80)]
+    texts += [(100 + i, "a b c d " * 20) for i in range(10)]
+    expected, sizes = plain(texts)
+    for x in suffixtree.score(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        assert math.isclose(x["score"], expected[x["doc_id"]], rel_tol=1e-9)
+    assert len(sizes) > 3
+    assert len(lost) > 3 and not any(lost[2:])
