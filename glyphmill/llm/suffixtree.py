@@ -302,12 +302,17 @@ def state_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame
     kind 1: their pairs that occur twice. Contexts behind which no state can come, such as those of long copied passages, are never sent."""
 
     def pairs(g: Group):  # noqa: ANN202
-        start, suffix, context = g.ends(CHAIN, depth - 1, depth)
+        (start,) = g.ends(CHAIN)
         at = np.flatnonzero((g.place >= depth) & np.repeat(g.train, g.sizes))
-        at = at[shared.value["states"].has(suffix[at])]
-        at = at[shared.value["starts"].has(start[at - depth + CHAIN])]  # a part of a frequent context is frequent
-        suffix = suffix[at]
-        names, first, before, total = np.unique(context[at], return_index=True, return_inverse=True, return_counts=True)
+        context = start[at - depth + CHAIN]
+        ok = shared.value["starts"].has(context)  # a part of a frequent context is frequent
+        at, context = at[ok], context[ok]
+        for k in range(depth - CHAIN, 0, -1):
+            context = context * POWER + g.hashes[at - k]
+        suffix = context - g.hashes[at - depth] * np.full(1, POWER) ** (depth - 1)
+        ok = shared.value["states"].has(suffix)
+        at, context, suffix = at[ok], context[ok], suffix[ok]
+        names, first, before, total = np.unique(context, return_index=True, return_inverse=True, return_counts=True)
         ok = shared.value["seen"].has(suffix * POWER + g.hashes[at])
         pair, n = np.unique(before[ok] << 32 | g.codes[at[ok]], return_counts=True)
         return [(names, suffix[first], total), (names[pair >> 32], g.words[pair & 0xFFFFFFFF], n)]
