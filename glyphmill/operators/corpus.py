@@ -30,8 +30,8 @@ def drop_held_out(rows: DataFrame, held_out: DataFrame, key: str = "ref") -> Dat
 def deduplicate(rows: DataFrame, profile: ScriptProfile = HEBREW) -> DataFrame:
     """The first sentence of each stripped text. A grouped minimum with map-side combine, so a sentence with a third of all rows is no hot group."""
     columns = rows.columns
-    place = F.struct("section_seq", "line_idx", "sent_idx")
-    return rows.withColumn("h", F.sha1(profile.strip(F.col("text")))).groupBy("h").agg(F.min_by(F.struct(*columns), place).alias("r")).select("r.*")
+    place = F.struct(F.col("section_seq").isNull(), "section_seq", "line_idx", "sent_idx")  # sections without a number come last
+    return rows.withColumn("h", F.sha1(profile.key(F.col("text")))).groupBy("h").agg(F.min_by(F.struct(*columns), place).alias("r")).select("r.*")
 
 
 def build_corpus(sections: DataFrame, held_out: DataFrame | None = None, profile: ScriptProfile = HEBREW, commercial_only: bool = False, composed: bool = True) -> DataFrame:

@@ -19,7 +19,7 @@ def sections(spark: SparkSession, landing: str, files: int = 100) -> DataFrame:
 
 def corpus_stream(stream: DataFrame, profile: ScriptProfile) -> DataFrame:
     """Stateless: each batch's clean, cut and labelled sentences, with the key that deduplicates them."""
-    return sentences(stream, profile).withColumn("skeleton_hash", F.sha1(profile.strip(F.col("text"))))
+    return sentences(stream, profile).withColumn("skeleton_hash", F.sha1(profile.key(F.col("text"))))
 
 
 def ingest(stream: DataFrame, out: str, checkpoint: str, profile: ScriptProfile) -> StreamingQuery:

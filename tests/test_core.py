@@ -205,3 +205,20 @@ def test_numbered_copies_are_one_sentence(spark):
     rows = spark.createDataFrame([(1, "r", "s", "l", "1", "ok", ["0 aa bb cc. 0 aa bb cc.", "1 aa bb cc. 1 aa bb cc."])], tables.SECTIONS)
     got = corpus.build_corpus(rows, None, LATIN).orderBy("line_idx").collect()
     assert [(r.line_idx, r.sent_idx, r.text) for r in got] == [(0, 0, "0 aa bb cc."), (1, 0, "1 aa bb cc.")]
+
+
+def test_a_control_character_behind_a_sentence_stays(spark):
+    assert _one(spark, clean.sentences(F.col("t"), LATIN), t="Aa bb cc.\u0085") == ["Aa bb cc.\u0085"]
+    assert _one(spark, clean.sentences(F.col("t"), LATIN), t="aa bb cc\x01dd ee ff. Gg\x01 hh ii jj") == ["aa bb cc", "dd ee ff.", "hh ii jj"]
+
+
+def test_copies_that_differ_in_any_marks_are_one(spark):
+    copies = [["főd aa bb cc", "fod aa bb cc", "főd aa bb cc"], ["aa bb cc 각", "aa bb cc 각", "aa bb cc 각"], ["aa bb cc 각ᆨ"], ["aa bb cc ᄀᆨ", "aa bb cc ᄀ́ᆨ"]]
+    lines = [t for c in copies for t in c]
+    rows = spark.createDataFrame([(1, "r", "s", "l", "1", "ok", lines)], tables.SECTIONS)
+    assert [r.text for r in corpus.build_corpus(rows, None, LATIN).orderBy("line_idx").collect()] == [c[0] for c in copies]
+
+
+def test_a_section_without_a_number_comes_last(spark):
+    rows = spark.createDataFrame([(n, str(n), "s", "l", "1", "ok", ["aa bb cc."]) for n in (5, None, -3)], tables.SECTIONS)
+    assert [r.ref for r in corpus.build_corpus(rows, None, LATIN).collect()] == ["-3"]
