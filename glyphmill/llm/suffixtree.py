@@ -51,6 +51,53 @@ def word_hash(word: bytes) -> int:
 
 
 END = word_hash(b"")
+#: Longer words are hashed one by one, shorter ones together.
+LONG_WORD = 64
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """Each key of 64 bits goes to another one, and each of its bits changes all of them (the finalizer of MurmurHash3)."""
+    keys = (keys ^ keys >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    keys = (keys ^ keys >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return keys ^ keys >> np.uint64(33)
+
+
+def word_hashes(words) -> np.ndarray:  # noqa: ANN001
+    """Signed 64-bit hashes of an Arrow array of binary words, by eight bytes at a time of all words; words of one length up to eight bytes never clash."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], "<i4")[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    start, size = offsets[:-1], np.diff(offsets)
+    data = np.zeros(offsets[-1] + 8, np.uint8)
+    data[: offsets[-1]] = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+    eight = np.ndarray(offsets[-1] + 1, "<u8", data, strides=(1,))
+    out = _mixed(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    for k in range(0, LONG_WORD, 8):
+        at = np.flatnonzero(size > k)
+        if not len(at):
+            break
+        bits = np.minimum(size[at] - k, 8).astype(np.uint64) << np.uint64(3)
+        out[at] = _mixed(out[at] ^ eight[start[at] + k] & np.uint64(0xFFFFFFFFFFFFFFFF) >> np.uint64(64) - bits)
+    out = out.view(np.int64)
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = word_hash(data[start[i] : offsets[i + 1]].tobytes())
+    return out
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order; np.unique's hash table takes more than ten times as long."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]][: len(keys)]]
+
+
+def _masks() -> np.ndarray:
+    """2^14 words of 64 bits, of which up to three are set."""
+    x = _mixed(np.arange(1, (1 << 14) + 1, dtype=np.uint64))
+    one, low = np.uint64(1), np.uint64(63)
+    return one << (x & low) | one << (x >> np.uint64(6) & low) | one << (x >> np.uint64(12) & low)
+
+
+MASKS = _masks()
 
 
 class Filter:
@@ -61,11 +108,9 @@ class Filter:
 
     @staticmethod
     def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """The word of each key in a filter of 2^size bits, and the key's bits in it."""
+        """The word of each key in a filter of 2^size bits, and the key's bits in it. Keys are hashes, so their low bits serve as they are."""
         mixed = keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        one, low = np.uint64(1), np.uint64(63)
-        bits = one << (mixed >> np.uint64(6) & low) | one << (mixed >> np.uint64(12) & low) | one << (mixed >> np.uint64(18) & low)
-        return (mixed * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(70 - size)).view(np.int64), bits
+        return (mixed >> np.uint64(70 - size)).view(np.int64), MASKS.take(keys & np.int64(len(MASKS) - 1), mode="clip")
 
     @classmethod
     def of(cls, keys: DataFrame, n: int, most: int = 64) -> Filter:
@@ -89,15 +134,15 @@ class Filter:
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         at, bits = self.places(keys, len(self.words).bit_length() + 5)
-        return self.words[at] & bits == bits
+        return self.words.take(at, mode="clip") & bits == bits
 
 
 class Values:
-    """Distinct keys with their values, in an open hash table of two slots a key or more."""
+    """Distinct keys with their values, in an open hash table of more than two slots a key."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        size = max(2, (2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - size), np.uint64((1 << size) - 1)
+        size = max(2, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - size), np.int64((1 << size) - 1)
         self.keys, self.values = np.zeros(1 << size, np.int64), np.full(1 << size, np.nan)
         at, left = self._slots(keys), np.arange(len(keys))
         while len(left):
@@ -105,27 +150,28 @@ class Values:
             put = left[free]
             self.keys[at[put]], self.values[at[put]] = keys[put], values[put]
             left = np.concatenate([left[~free], put[self.keys[at[put]] != keys[put]]])
-            at[left] = at[left] + np.uint64(1) & self.mask
+            at[left] = at[left] + 1 & self.mask
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """NaN where a key is missing."""
         at = self._slots(keys)
-        out = self.values[at]
-        left = np.flatnonzero((self.keys[at] != keys) & ~np.isnan(out))
-        at = at[left]
+        out = self.values.take(at, mode="clip")
+        left = np.flatnonzero(self.keys.take(at, mode="clip") != keys)
+        left = left[~np.isnan(out[left])]
+        keys, at = keys[left], at[left]
         while len(left):
-            at = at + np.uint64(1) & self.mask
-            out[left] = self.values[at]
-            other = (self.keys[at] != keys[left]) & ~np.isnan(out[left])
-            left, at = left[other], at[other]
+            at = at + 1 & self.mask
+            value = out[left] = self.values.take(at, mode="clip")
+            other = np.flatnonzero((self.keys.take(at, mode="clip") != keys) & ~np.isnan(value))
+            left, keys, at = left[other], keys[other], at[other]
         return out
 
 
 class Group:
-    """Some neighbouring texts: hash of each place's word, the place in its text, and the texts' ids, folds and lengths (with the end symbol)."""
+    """Some neighbouring texts: hash of each place's word, and the texts' ids, folds and lengths (with the end symbol)."""
 
     def __init__(self, row: dict) -> None:
         self.number, self.ids = row["group"], row["ids"]
@@ -134,7 +180,15 @@ class Group:
         self.words = np.frombuffer(row["words"], "<i8")
         self.codes = np.frombuffer(row["low"], "<u2") | np.frombuffer(row["high"], "<u2").astype(np.uint32) << np.uint32(16)
         self.hashes = self.words[self.codes]
-        self.place = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+
+    def behind(self, least: int) -> np.ndarray:
+        """Whether each place has `least` words before it in its text."""
+        out = np.ones(len(self.codes), bool)
+        starts, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes
+        for k in range(least):
+            starts, sizes = starts[sizes > k], sizes[sizes > k]
+            out[starts + k] = False
+        return out
 
     def contexts(self, most: int):  # noqa: ANN201
         """For each length up to `most`: the hash of the words before each place (where its text has that many)."""
@@ -161,20 +215,20 @@ def _pack(number: int, parts: list):  # noqa: ANN202
     texts = pc.ascii_lower(pc.fill_null(table["text"].combine_chunks(), ""))
     lists = pc.ascii_split_whitespace(texts)  # at exactly space and U+0009 to U+000D
     offsets = lists.offsets.to_numpy()
-    flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-    real = pc.not_equal(flat, "")  # white space at a text's ends leaves empty strings
-    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    flat = coded.indices.to_numpy()
+    real = flat != pc.index(coded.dictionary, "").as_py()  # white space at a text's ends leaves empty strings
+    before = np.concatenate([[0], np.cumsum(real)])
     sizes = np.diff(before[offsets - offsets[0]]).astype("<i8")
-    coded = flat.filter(real).dictionary_encode()
-    words = [*map(word_hash, coded.dictionary.cast(pa.binary()).to_pylist()), END]
-    codes = np.full(len(coded) + len(sizes), len(words) - 1, np.uint32)
+    words = np.r_[word_hashes(coded.dictionary.cast(pa.binary())), END]
+    codes = np.full(before[-1] + len(sizes), len(words) - 1, np.uint32)
     inner = np.ones(len(codes), bool)
     inner[np.cumsum(sizes + 1) - 1] = False
-    codes[inner] = coded.indices.to_numpy(zero_copy_only=False)
+    codes[inner] = flat[real]
     blob = lambda a: pa.array([a.tobytes()], pa.binary())
     ids = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), table["doc_id"].combine_chunks())
     train = table["train"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-    values = [pa.array([number], pa.int64()), ids, blob(train), blob(sizes + 1), blob(np.array(words, "<i8")), blob(codes.astype("<u2")), blob((codes >> np.uint32(16)).astype("<u2"))]
+    values = [pa.array([number], pa.int64()), ids, blob(train), blob(sizes + 1), blob(words.astype("<i8")), blob(codes.astype("<u2")), blob((codes >> np.uint32(16)).astype("<u2"))]
     return pa.RecordBatch.from_arrays(values, ["group", "ids", "train", "sizes", "words", "low", "high"])
 
 
@@ -281,7 +335,7 @@ def pair_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame:
 
     def pairs(g: Group):  # noqa: ANN202
         contexts, twice = shared.value["contexts"], shared.value["twice"].has(g.words)
-        ok = (g.place >= depth) & twice[g.codes] & np.repeat(g.train, g.sizes)
+        ok = g.behind(depth) & twice[g.codes] & np.repeat(g.train, g.sizes)
         if depth == 1:  # a context is a word of the group
             at = np.flatnonzero(ok[1:] & contexts.has(g.words)[g.codes[:-1]]) + 1
             names, before = g.words, g.codes[at - 1].astype(np.int64)
@@ -303,7 +357,7 @@ def state_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame
 
     def pairs(g: Group):  # noqa: ANN202
         (start,) = g.ends(CHAIN)
-        at = np.flatnonzero((g.place >= depth) & np.repeat(g.train, g.sizes))
+        at = np.flatnonzero(g.behind(depth) & np.repeat(g.train, g.sizes))
         context = start[at - depth + CHAIN]
         ok = shared.value["starts"].has(context)  # a part of a frequent context is frequent
         at, context = at[ok], context[ok]
@@ -437,34 +491,36 @@ class Walk:
             shared["cache"] = Values(shared["keys"], shared["values"])
         self.group = g
         self.words, self.steps = Found(g.words ^ WORD, shared), []
-        at = np.arange(len(g.codes))
         for length, context in enumerate(g.contexts(depth), 1):
-            at = at[g.place[at] >= length]
             if length == 1:  # each word of the group once
+                at = np.flatnonzero(g.behind(1))
                 left, index = Found(g.words, shared), g.codes[at - 1]
+                ok = np.flatnonzero(left.may()[index])
+                index = index[ok]
             else:
-                left, index = Found(context[at], shared), np.arange(len(at))
-            ok = left.may()[index]
-            at, index = at[ok], index[ok]  # a state's suffix is a state
+                at = at[g.behind(length)[at]]
+                left = Found(context[at], shared)
+                ok = index = np.flatnonzero(left.may())
+            at = at[ok]  # a state's suffix is a state
             self.steps.append((at, left, index, Found(context[at] * POWER + g.hashes[at] ^ PAIR, shared)))
 
     def questions(self) -> np.ndarray:
-        return np.unique(np.concatenate([self.words.keys, *(f.keys for _, left, _, share in self.steps for f in (left, share))]))
+        return distinct(np.concatenate([self.words.keys, *(f.keys for _, left, _, share in self.steps for f in (left, share))]))
 
     def score(self, answers: Values, total: float):  # noqa: ANN201
-        """(count of each place's word, P at the root, P at the longest state)."""
+        """(whether each place's word is known, log10 P at the root, P at the longest state)."""
         self.words.close(answers)
-        counts = np.nan_to_num(self.words.values)
-        root = ((counts + 0.5) / total)[self.group.codes]
-        p = root.copy()
+        counts, codes = np.fmax(self.words.values, 0.0), self.group.codes
+        root = (counts + 0.5) / total
+        p = root[codes]
         for at, state, index, share in self.steps:
             state.close(answers)
             share.close(answers)
             left = state.values[index]
             ok = ~np.isnan(left)
             at = at[ok]
-            p[at] = np.nan_to_num(share.values[ok]) + left[ok] * p[at]
-        return counts[self.group.codes], root, p
+            p[at] = np.fmax(share.values[ok], 0.0) + left[ok] * p[at]
+        return (counts > 0)[codes], np.log10(root)[codes], p
 
 
 def _answers(groups: DataFrame, tree: DataFrame, shared, depth: int, parts: int) -> DataFrame:  # noqa: ANN001
@@ -531,10 +587,10 @@ def score(docs: DataFrame) -> DataFrame:
                 keys = keys[np.argsort(part_of(keys, parts), kind="stable")]
                 (values,) = _undealt(batch.column("answers")[k].as_py() or [], "<f8")
                 found = ~np.isnan(values)
-                counts, root, p = walk.score(Values(keys[found], values[found]), total)
+                known, base, p = walk.score(Values(keys[found], values[found]), total)
                 starts = np.cumsum(g.sizes) - g.sizes
                 of = lambda x: pa.array(np.add.reduceat(x, starts))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([g.ids, pa.array(~g.train), pa.array(g.sizes), of((counts > 0).astype(np.int64)), of(np.log10(root)), of(np.log10(p))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([g.ids, pa.array(~g.train), pa.array(g.sizes), of(known.astype(np.int64)), of(base), of(np.log10(p))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     answers = _answers(groups, tree, shared, depth, parts)
     out = groups.join(answers, "group", "left").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

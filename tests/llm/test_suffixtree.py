@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from glyphmill.llm import suffixtree
@@ -132,3 +133,44 @@ def test_copied_passages_add_no_longer_contexts(spark, monkeypatch):
         assert math.isclose(x["score"], expected[x["doc_id"]], rel_tol=1e-9)
     assert len(sizes) > 3
     assert len(lost) > 3 and not any(lost[2:])
+
+
+def group_of(texts):
+    import pyarrow as pa
+
+    ids, flags = range(len(texts)), [True] * len(texts)
+    row = suffixtree._pack(7, [pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()), "train": flags})])
+    return next(suffixtree._each([row]))
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """Only long words are hashed one by one; a hash follows a word's bytes alone, and no two of these words share one."""
+    alone, word_hash = [], suffixtree.word_hash
+    monkeypatch.setattr(suffixtree, "word_hash", lambda w: alone.append(w) or word_hash(w))
+    words = [c * n for c in ("a", "b", "\x00", "é") for n in range(1, 80)] + [f"w{i}" for i in range(20_000)] + [f"common-prefix-{i}-x" for i in range(20_000)]
+    g = group_of([" ".join(words), None, "", "  \t", f" {' '.join(reversed(words))}\n"])
+    assert {*map(bytes, alone)} == {w.encode() for w in words if len(w.encode()) > 64}
+    assert [*g.sizes] == [len(words) + 1, 1, 1, 1, len(words) + 1]
+    first, last = g.hashes[: len(words)], g.hashes[-len(words) - 1 : -1]
+    assert len({*first.tolist(), suffixtree.END}) == len(words) + 1
+    assert (first == last[::-1]).all() and (g.hashes[len(words) : len(words) + 4] == suffixtree.END).all()
+    assert (group_of([" ".join(words[5:9])]).hashes[:-1] == first[5:9]).all()
+
+
+def test_a_group_asks_for_each_key_once_in_order():
+    """The second walk finds the answers by this order."""
+    g = group_of([" ".join(f"w{i * i % 997}" for i in range(5000)), "a b a b"])
+    nothing = np.zeros(0, np.int64)
+    keys = suffixtree.Walk(g, {"keys": nothing, "values": np.zeros(0), "known": suffixtree.Filter(np.full(1 << 10, ~np.uint64(0)))}, 3).questions()
+    assert (np.diff(keys.astype(object)) > 0).all()
+    assert {*(g.words ^ suffixtree.WORD).tolist(), *next(g.contexts(1))[g.behind(1)].tolist()} <= {*keys.tolist()}
+
+
+def test_values_and_filter():
+    r = np.random.default_rng(2)
+    keys = r.integers(-(2**63), 2**63, 50_000)
+    values, known = suffixtree.Values(keys[:40_000], np.arange(40_000.0)), suffixtree.Filter(np.zeros(1 << 14, np.uint64))
+    at, bits = known.places(keys[:40_000], 20)
+    np.bitwise_or.at(known.words, at, bits)
+    assert (values.get(keys)[:40_000] == np.arange(40_000)).all() and np.isnan(values.get(keys)[40_000:]).all()
+    assert known.has(keys[:40_000]).all() and known.has(keys[40_000:]).mean() < 0.01
