@@ -73,6 +73,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, column: str) -> DataFrame:
+    """stored() in a folder for each value of a column, so that a filter on it reads only its own."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.partitionBy(column).option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file of the shared folder that nothing reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

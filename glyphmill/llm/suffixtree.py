@@ -8,7 +8,7 @@ Contexts grow by a word as long as any state of the last length was kept. Next-s
 P(w|s) = (c(s, w) - D) / c(s) for kept pairs, plus what is left over times P(w | suffix of s). A text is scored with the longest suffix state at each place.
 
 Texts are read once: neighbouring rows become a group of a few million words, stored as the group's distinct words (64-bit hashes) and a code for each
-place. Everything later works on groups. Word counts, contexts, states and pairs are tables keyed by 64-bit hashes, so nothing of the tree is bounded or
+place. Training rows and others are in groups of their own, so that counting reads only the former. Everything later works on groups. Word counts, contexts, states and pairs are tables keyed by 64-bit hashes, so nothing of the tree is bounded or
 dropped at any size. To score, each group asks a joined table for the distinct keys that it holds. Two broadcast things decide nothing but speed: the
 CACHE keys that occur most often with their values, and a Bloom filter of all keys, which spares questions about what the tree doesn't have.
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, fold, release, remove, stored
+from .common import bound_batches, fold, release, remove, stored, stored_by
 
 FOLDS, HELD_OUT = 5, 1
 CACHE = 1_000_000
@@ -171,11 +171,11 @@ class Values:
 
 
 class Group:
-    """Some neighbouring texts: hash of each place's word, and the texts' ids, folds and lengths (with the end symbol)."""
+    """Some neighbouring texts, all for training or none: hash of each place's word, and the texts' ids and lengths (with the end symbol)."""
 
     def __init__(self, row: dict) -> None:
         self.number, self.ids = row["group"], row["ids"]
-        self.train = np.frombuffer(row["train"], bool)
+        self.train = row["train"]
         self.sizes = np.frombuffer(row["sizes"], "<i8")
         self.words = np.frombuffer(row["words"], "<i8")
         self.codes = np.frombuffer(row["low"], "<u2") | np.frombuffer(row["high"], "<u2").astype(np.uint32) << np.uint32(16)
@@ -203,7 +203,7 @@ class Group:
         return [c.copy() for n, c in enumerate(self.contexts(lengths[-1]), 1) for x in lengths if x == n]
 
 
-GROUP_SCHEMA = "group long, ids array<long>, train binary, sizes binary, words binary, low binary, high binary"
+GROUP_SCHEMA = "group long, ids array<long>, train boolean, sizes binary, words binary, low binary, high binary"
 
 
 def _pack(number: int, parts: list):  # noqa: ANN202
@@ -227,8 +227,8 @@ def _pack(number: int, parts: list):  # noqa: ANN202
     codes[inner] = flat[real]
     blob = lambda a: pa.array([a.tobytes()], pa.binary())
     ids = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), table["doc_id"].combine_chunks())
-    train = table["train"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-    values = [pa.array([number], pa.int64()), ids, blob(train), blob(sizes + 1), blob(words.astype("<i8")), blob(codes.astype("<u2")), blob((codes >> np.uint32(16)).astype("<u2"))]
+    train = table["train"].combine_chunks()[:1]
+    values = [pa.array([number], pa.int64()), ids, train, blob(sizes + 1), blob(words.astype("<i8")), blob(codes.astype("<u2")), blob((codes >> np.uint32(16)).astype("<u2"))]
     return pa.RecordBatch.from_arrays(values, ["group", "ids", "train", "sizes", "words", "low", "high"])
 
 
@@ -237,20 +237,24 @@ def groups_of(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession, "8m")
 
     def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        number, held = TaskContext.get().partitionId() << 32, {True: [], False: []}
         for batch in batches:
-            held.append(batch)
-            size += batch.column("text").nbytes
-            if size >= GROUP_CHARS:
-                yield _pack(number, held)
-                number, held, size = number + 1, [], 0
-        if sum(b.num_rows for b in held):
-            yield _pack(number, held)
+            train = batch.column("train")
+            for kind, rows in ((True, batch.filter(train)), (False, batch.filter(pc.invert(train)))):
+                held[kind].append(rows)
+                if sum(b.column("text").nbytes for b in held[kind]) >= GROUP_CHARS:
+                    yield _pack(number, held[kind])
+                    number, held[kind] = number + 1, []
+        for parts in held.values():
+            if sum(b.num_rows for b in parts):
+                yield _pack(number, parts)
+                number += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), FOLDS) != HELD_OUT).alias("train"))
-    return stored(rows.mapInArrow(run, GROUP_SCHEMA))
+    return stored_by(rows.mapInArrow(run, GROUP_SCHEMA), "train")
 
 
 def _each(batches):  # noqa: ANN001, ANN202
@@ -287,7 +291,7 @@ def _undealt(blocks: list[bytes], *types: str) -> list[np.ndarray]:
 
 
 def _counted(groups: DataFrame, pairs_of, least: tuple[int, ...], parts: int) -> DataFrame:  # noqa: ANN001
-    """(kind, a, b, count) for those of the pairs whose counts sum to at least `least` of their kind; pairs_of(group) gives a, b and counts of each kind.
+    """(kind, a, b, count) over the training groups for those of the pairs whose counts sum to at least `least` of their kind; pairs_of(group) gives a, b and counts of each kind.
 
     A group sends one block for each of `parts` hash classes that it has; rows of their own would cost the JVM far more. `parts` follows
     the number of words, so what meets in one place is bounded; a frequent context's pairs lie in all classes.
@@ -314,14 +318,14 @@ def _counted(groups: DataFrame, pairs_of, least: tuple[int, ...], parts: int) ->
         at = order[first[ok]]
         return pa.table({"kind": np.full(len(at), kind, np.int32), "a": a[at], "b": b[at], "count": sums[ok]})
 
-    return groups.mapInArrow(deal, "part long, block binary").groupBy("part").applyInArrow(add, "kind int, a long, b long, count long")
+    return groups.where("train").mapInArrow(deal, "part long, block binary").groupBy("part").applyInArrow(add, "kind int, a long, b long, count long")
 
 
 def word_counts(groups: DataFrame, parts: int) -> DataFrame:
     """(word, count) over all training rows, by hashes."""
 
     def words(g: Group):  # noqa: ANN202
-        n = np.bincount(g.codes[np.repeat(g.train, g.sizes)], minlength=len(g.words))
+        n = np.bincount(g.codes, minlength=len(g.words))
         return [(np.zeros(np.count_nonzero(n), np.int64), g.words[n > 0], n[n > 0])]
 
     return _counted(groups, words, (1,), parts).select(F.col("b").alias("word"), "count")
@@ -335,7 +339,7 @@ def pair_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame:
 
     def pairs(g: Group):  # noqa: ANN202
         contexts, twice = shared.value["contexts"], shared.value["twice"].has(g.words)
-        ok = g.behind(depth) & twice[g.codes] & np.repeat(g.train, g.sizes)
+        ok = g.behind(depth) & twice[g.codes]
         if depth == 1:  # a context is a word of the group
             at = np.flatnonzero(ok[1:] & contexts.has(g.words)[g.codes[:-1]]) + 1
             names, before = g.words, g.codes[at - 1].astype(np.int64)
@@ -357,7 +361,7 @@ def state_counts(groups: DataFrame, shared, depth: int, parts: int) -> DataFrame
 
     def pairs(g: Group):  # noqa: ANN202
         (start,) = g.ends(CHAIN)
-        at = np.flatnonzero(g.behind(depth) & np.repeat(g.train, g.sizes))
+        at = np.flatnonzero(g.behind(depth))
         context = start[at - depth + CHAIN]
         ok = shared.value["starts"].has(context)  # a part of a frequent context is frequent
         at, context = at[ok], context[ok]
@@ -590,7 +594,7 @@ def score(docs: DataFrame) -> DataFrame:
                 known, base, p = walk.score(Values(keys[found], values[found]), total)
                 starts = np.cumsum(g.sizes) - g.sizes
                 of = lambda x: pa.array(np.add.reduceat(x, starts))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([g.ids, pa.array(~g.train), pa.array(g.sizes), of(known.astype(np.int64)), of(base), of(np.log10(p))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([g.ids, pa.array(np.full(len(g.sizes), not g.train)), pa.array(g.sizes), of(known.astype(np.int64)), of(base), of(np.log10(p))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     answers = _answers(groups, tree, shared, depth, parts)
     out = groups.join(answers, "group", "left").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

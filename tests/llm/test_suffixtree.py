@@ -174,3 +174,11 @@ def test_values_and_filter():
     np.bitwise_or.at(known.words, at, bits)
     assert (values.get(keys)[:40_000] == np.arange(40_000)).all() and np.isnan(values.get(keys)[40_000:]).all()
     assert known.has(keys[:40_000]).all() and known.has(keys[40_000:]).mean() < 0.01
+
+
+def test_training_rows_have_groups_of_their_own(spark):
+    docs = spark.createDataFrame([(i, f"a b {i}") for i in range(50)] + [(None, None)], "doc_id long, text string")
+    rows = suffixtree.groups_of(docs).collect()
+    held = {i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1}
+    assert {i for r in rows if not r["train"] for i in r["ids"]} == held
+    assert sorted(str(i) for r in rows if r["train"] is True for i in r["ids"]) == sorted(map(str, {*range(50), None} - held))
